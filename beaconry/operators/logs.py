@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.functions.rules import code_label
-from beaconry.functions.syslog import syslog_fields
+from beaconry.functions.syslog import syslog_fields, with_parts
 from beaconry.operators.quality import enforce
 from beaconry.profiles.base import Profile
 from beaconry.profiles.network import CRITICAL_SEVERITY, SEVERITY_NAMES
@@ -14,10 +14,9 @@ from beaconry.profiles.network import CRITICAL_SEVERITY, SEVERITY_NAMES
 
 def read_fields(df: DataFrame, profile: Profile, value: str = "value") -> DataFrame:
     """All rows with their parsed columns; rows that are no RFC 5424 line get NULLs."""
-    raw = F.col(value)
     kept = [c for c in df.columns if c != value]
-    parsed = df.select(*kept, raw.alias("raw_message"), *[
-        column.alias(name) for name, column in syslog_fields(raw).items()
+    parsed = with_parts(df, value).select(*kept, F.col(value).alias("raw_message"), *[
+        column.alias(name) for name, column in syslog_fields().items()
     ])
     parsed = parsed.withColumns({
         "facility": F.floor(F.col("priority") / 8).cast("int"),

@@ -110,7 +110,7 @@ FIXTURES = {
     "fx_store_log": f"""
         SELECT e.event_id, {_time("e.event_id*2+1")} AS arrival,
           CASE WHEN e.event_id%97=0 THEN concat('garbage line ',CAST(e.event_id AS STRING)) ELSE
-          concat('<',CAST(128+e.event_id*7%8 AS STRING),'>1 ',{_ISO.format(_time("e.event_id*2+1"))},' ',s.store_id,
+          concat('<',CAST(128+(e.event_id*7+CAST(floor(e.event_id/8) AS BIGINT))%8 AS STRING),'>1 ',{_ISO.format(_time("e.event_id*2+1"))},' ',s.store_id,
             ' POS ',CAST(1000+e.event_id%9000 AS STRING),' ',
             CASE WHEN s.store_category='fast_food' THEN {_pick(_FOOD_EVENTS, "e.event_id%8")}
               ELSE {_pick(_SHOP_EVENTS, "e.event_id%6")} END,

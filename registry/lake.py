@@ -38,16 +38,23 @@ class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.dir = spark, sf_dir.rstrip("/")
-        for name in BASE:
-            self.base(name).createOrReplaceTempView(name)
-        for name, sql in FIXTURES.items():
-            spark.sql(sql).createOrReplaceTempView(name)
+        self._ready: set[str] = set()
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def sql(self, text: str) -> DataFrame:
+        """Run SQL; the tables it names become views of this lake first."""
+        for word in dict.fromkeys(re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", text)):
+            if word in self._ready or (word not in BASE and word not in FIXTURES):
+                continue
+            df = self.base(word) if word in BASE else self.sql(FIXTURES[word])
+            df.createOrReplaceTempView(word)
+            self._ready.add(word)
+        return self.spark.sql(text)
+
     def fx(self, name: str) -> DataFrame:
-        return self.spark.sql(f"SELECT * FROM {name}")
+        return self.sql(f"SELECT * FROM {name}")
 
     def stream(self, name: str, source: str) -> DataFrame:
         """A derived input over the stream of one given table's file."""

@@ -137,25 +137,25 @@ _CHANGED = "(o.segment IS DISTINCT FROM n.segment OR o.nation IS DISTINCT FROM n
 
 
 def _dimension(lake):
-    return lake.spark.sql(_OLD).withColumns({
+    return lake.sql(_OLD).withColumns({
         "effective_start_date": F.lit("2026-01-01").cast("timestamp"),
         "effective_end_date": F.lit(None).cast("timestamp"), "is_active": F.lit(True)})
 
 
-add("snapshot_diff", lambda lake: snapshot_diff(lake.spark.sql(_OLD), lake.spark.sql(_NEW), ["k"]),
+add("snapshot_diff", lambda lake: snapshot_diff(lake.sql(_OLD), lake.sql(_NEW), ["k"]),
     f"""SELECT * FROM (SELECT CASE WHEN o.k IS NULL THEN 'insert' WHEN n.k IS NULL THEN 'delete'
           WHEN {_CHANGED} THEN 'update' END AS change_type, coalesce(n.k,o.k) AS k,
           CASE WHEN n.k IS NULL THEN o.segment ELSE n.segment END AS segment,
           CASE WHEN n.k IS NULL THEN o.nation ELSE n.nation END AS nation {_SIDES})
         WHERE change_type IS NOT NULL""")
 add("snapshot_apply",
-    lambda lake: apply_changes(lake.spark.sql(_OLD), snapshot_diff(
-        lake.spark.sql(_OLD), lake.spark.sql(_NEW), ["k"]), ["k"]), _NEW)
-add("scd1_upsert", lambda lake: scd1_upsert(lake.spark.sql(_OLD), lake.spark.sql(_NEW), ["k"]),
+    lambda lake: apply_changes(lake.sql(_OLD), snapshot_diff(
+        lake.sql(_OLD), lake.sql(_NEW), ["k"]), ["k"]), _NEW)
+add("scd1_upsert", lambda lake: scd1_upsert(lake.sql(_OLD), lake.sql(_NEW), ["k"]),
     f"SELECT coalesce(n.k,o.k) AS k, CASE WHEN n.k IS NULL THEN o.segment ELSE n.segment END AS segment,"
     f" CASE WHEN n.k IS NULL THEN o.nation ELSE n.nation END AS nation {_SIDES}")
 add("scd2_merge",
-    lambda lake: scd2_merge(_dimension(lake), lake.spark.sql(_NEW), ["k"], ["segment", "nation"], "2026-02-01"),
+    lambda lake: scd2_merge(_dimension(lake), lake.sql(_NEW), ["k"], ["segment", "nation"], "2026-02-01"),
     f"""SELECT o.k AS k, o.segment AS segment, o.nation AS nation,
           TIMESTAMP '2026-01-01' AS effective_start_date,
           CASE WHEN n.k IS NOT NULL AND {_CHANGED} THEN TIMESTAMP '2026-02-01' END AS effective_end_date,
