@@ -13,80 +13,83 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beaconry.functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, distance_from_haversine, haversine_km
+from beaconry.functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, haversine_km
+from beaconry.session import persist_table
 
 _SLACK_KM = 1e-6  # rounding guard for cell bounds; exact distances decide afterwards
 
 
 class Grid:
-    """Cells ``height`` degrees high; ``split`` > 1 cuts every coarse cell into split x split."""
+    """Cells ``height`` degrees high; ``split`` > 1 cuts every coarse cell into split x split.
+
+    Methods return SQL text over column names.
+    """
 
     def __init__(self, height: float, split: int = 1):
         self.coarse, self.split = height, split
         self.height = height / split
 
-    def band(self, lat: Column) -> Column:
+    def band(self, lat: str) -> str:
         last = math.ceil(180 / self.coarse) * self.split - 1
-        return F.least(F.floor((lat + 90) / self.height), F.lit(last)).cast("long")
-
-    def columns(self, band: Column) -> Column:
-        south = F.floor(band / self.split) * self.coarse - 90
-        widest = F.greatest(F.abs(south), F.abs(south + self.coarse))
-        fit = F.floor(F.cos(F.radians(F.least(widest, F.lit(90.0)))) * 360 / self.coarse)
-        return (F.greatest(fit, F.lit(1)) * self.split).cast("long")
+        return f"CAST(least(floor(({lat} + 90) / {self.height!r}D), {last}) AS BIGINT)"
 
-    def position(self, lon: Column, band: Column) -> Column:
-        """Unwrapped column number."""
-        return F.floor((lon + 180) * self.columns(band) / 360).cast("long")
+    def columns(self, band: str) -> str:
+        """Number of cells in a band."""
+        south = f"(floor({band} / {self.split}) * {self.coarse!r}D - 90)"
+        widest = f"least(greatest(abs({south}), abs({south} + {self.coarse!r}D)), 90)"
+        return (f"CAST(greatest(floor(cos(radians({widest})) * {360 / self.coarse!r}D), 1) * {self.split}"
+                " AS BIGINT)")
 
     def place(self, df: DataFrame, lat: str, lon: str, band: str = "_band", cell: str = "_cell") -> DataFrame:
-        df = df.withColumn(band, self.band(F.col(lat)))
-        wrapped = F.pmod(self.position(F.col(lon), F.col(band)), self.columns(F.col(band)))
-        return df.withColumn(cell, wrapped)
-
-    def box(self, band: Column, cell: Column) -> dict[str, Column]:
-        width = F.lit(360.0) / self.columns(band)
-        south = band * self.height - 90
-        return {"lat": south + self.height / 2, "lon": (cell + 0.5) * width - 180, "half_width": width / 2}
-
-    def reach(self, df: DataFrame, south: Column, north: Column, west: Column, east: Column,
-              km: float, band: str = "_band", cell: str = "_cell") -> DataFrame:
+        df = df.withColumn(band, F.expr(self.band(lat))).withColumn("_columns", F.expr(self.columns(band)))
+        wrapped = f"pmod(CAST(floor(({lon} + 180) * _columns / 360) AS BIGINT), _columns)"
+        return df.withColumn(cell, F.expr(wrapped)).drop("_columns")
+
+    def with_box(self, df: DataFrame, band: str, cell: str, prefix: str) -> DataFrame:
+        """Add centre and half width of a cell, in degrees: ``<prefix>lat``, ``lon``, ``half``."""
+        width = f"(360D / {self.columns(band)})"
+        return df.withColumn(f"{prefix}half", F.expr(f"{width} / 2")).withColumns({
+            f"{prefix}lat": F.expr(f"{band} * {self.height!r}D - 90 + {self.height / 2!r}D"),
+            f"{prefix}lon": F.expr(f"(2 * {cell} + 1) * {prefix}half - 180")})
+
+    def reach(self, df: DataFrame, south: str, north: str, west: str, east: str, km: float,
+              band: str = "_band", cell: str = "_cell") -> DataFrame:
         """Repeat rows for every cell that may hold a point within ``km`` of the box."""
         degrees = (km + _SLACK_KM) / KM_PER_DEGREE
-        widest = F.greatest(F.abs(south), F.abs(north))
-        spread = F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(math.radians(degrees)))
-                                          / F.cos(F.radians(widest)))))
-        spread = F.when(widest + degrees >= 90, F.lit(180.0)).otherwise(spread + 1e-9)
-        df = df.withColumns({"_west": west - spread, "_east": east + spread})
-        df = df.withColumn(band, F.explode(F.sequence(
-            self.band(F.greatest(south - degrees, F.lit(-90.0))),
-            self.band(F.least(north + degrees, F.lit(90.0))))))
-        count = self.columns(F.col(band))
-        first, last = (self.position(F.col(side), F.col(band)) for side in ("_west", "_east"))
-        ring = F.when(last - first + 1 >= count, F.sequence(F.lit(0).cast("long"), count - 1)).otherwise(
-            F.transform(F.sequence(first, last), lambda i: F.pmod(i, count)))
-        return df.withColumn(cell, F.explode(ring)).drop("_west", "_east")
-
-
-def _box_distance(a: dict[str, Column], b: dict[str, Column], height: float) -> tuple[Column, Column]:
-    """Smallest and largest possible distance between points of two cells."""
-    lat_gap = F.abs(a["lat"] - b["lat"])
-    lon_gap = F.abs(F.pmod(a["lon"] - b["lon"] + 180, F.lit(360.0)) - 180)
-    width = a["half_width"] + b["half_width"]
-
-    def cosine(box: dict[str, Column], toward_pole: bool) -> Column:
-        middle, half = F.abs(box["lat"]), height / 2
-        edge = F.least(middle + half, F.lit(90.0)) if toward_pole else F.greatest(middle - half, F.lit(0.0))
-        return F.cos(F.radians(edge))
-
-    def term(lat: Column, lon: Column, toward_pole: bool) -> Column:
-        h = F.pow(F.sin(F.radians(lat) / 2), 2) + (
-            cosine(a, toward_pole) * cosine(b, toward_pole) * F.pow(F.sin(F.radians(lon) / 2), 2))
-        return distance_from_haversine(h)
-
-    nearest = term(F.greatest(lat_gap - height, F.lit(0.0)), F.greatest(lon_gap - width, F.lit(0.0)), True)
-    farthest = term(F.least(lat_gap + height, F.lit(180.0)), F.least(lon_gap + width, F.lit(180.0)), False)
-    return nearest, farthest
+        widest = f"greatest(abs({south}), abs({north}))"
+        spread = (f"CASE WHEN {widest} + {degrees!r}D >= 90 THEN 180D ELSE 1e-9D + degrees(asin(least(1D,"
+                  f" {math.sin(math.radians(degrees))!r}D / cos(radians({widest}))))) END")
+        df = df.withColumn("_spread", F.expr(spread)).withColumn(band, F.explode(F.expr(
+            f"sequence({self.band(f'greatest({south} - {degrees!r}D, -90D)')},"
+            f" {self.band(f'least({north} + {degrees!r}D, 90D)')})")))
+        df = df.withColumn("_columns", F.expr(self.columns(band))).withColumns({
+            "_first": F.expr(f"CAST(floor(({west} - _spread + 180) * _columns / 360) AS BIGINT)"),
+            "_last": F.expr(f"CAST(floor(({east} + _spread + 180) * _columns / 360) AS BIGINT)")})
+        ring = ("CASE WHEN _last - _first + 1 >= _columns THEN sequence(0L, _columns - 1)"
+                " ELSE transform(sequence(_first, _last), i -> pmod(i, _columns)) END")
+        return df.withColumn(cell, F.explode(F.expr(ring))).drop("_spread", "_columns", "_first", "_last")
+
+
+def _with_bounds(df: DataFrame, height: float) -> DataFrame:
+    """Add ``_near`` and ``_far``: smallest and largest distance between points of the cells whose
+    boxes are in ``a_`` and ``b_`` columns."""
+    def cosine(box: str, toward_pole: bool) -> str:
+        edge = (f"least(abs({box}lat) + {height / 2!r}D, 90)" if toward_pole
+                else f"greatest(abs({box}lat) - {height / 2!r}D, 0)")
+        return f"cos(radians({edge}))"
+
+    def distance(lat: str, lon: str, toward_pole: bool) -> Column:
+        h = (f"pow(sin(radians({lat}) / 2), 2) + {cosine('a_', toward_pole)} * {cosine('b_', toward_pole)}"
+             f" * pow(sin(radians({lon}) / 2), 2)")
+        return F.expr(f"{2.0 * EARTH_RADIUS_KM!r}D * asin(sqrt(least({h}, 1D)))")
+
+    gaps = df.withColumns({
+        "_dlat": F.expr("abs(a_lat - b_lat)"),
+        "_dlon": F.expr("abs(pmod(a_lon - b_lon + 180, 360D) - 180)"), "_width": F.expr("a_half + b_half")})
+    return gaps.withColumns({
+        "_near": distance(f"greatest(_dlat - {height!r}D, 0)", "greatest(_dlon - _width, 0)", True),
+        "_far": distance(f"least(_dlat + {height!r}D, 180)", "least(_dlon + _width, 180)", False),
+    }).drop("_dlat", "_dlon", "_width")
 
 
 def geo_within(left: DataFrame, right: DataFrame, km: float, extra: Column | None = None,
@@ -102,9 +105,9 @@ def geo_within(left: DataFrame, right: DataFrame, km: float, extra: Column | Non
     lhs = grid.place(left, *left_point, "_band", "_cell")
     rhs = right.withColumnsRenamed({c: f"near_{c}" for c in right.columns})
     near = [f"near_{c}" for c in right_point]
-    lat, lon = (F.col(c) for c in near)
+    lat, lon = near
     rhs = grid.reach(rhs, lat, lat, lon, lon, km, "_near_band", "_near_cell")
-    measured = haversine_km(F.col(left_point[0]), F.col(left_point[1]), lat, lon)
+    measured = haversine_km(*[F.col(c) for c in (*left_point, lat, lon)])
     condition = ((F.col("_band") == F.col("_near_band")) & (F.col("_cell") == F.col("_near_cell"))
                  & (measured <= km))
     if extra is not None:
@@ -130,24 +133,23 @@ def neighbour_counts(points: DataFrame, km: float, group: str, cells_per_radius:
     point.  Crowded places therefore never pair up with themselves.
     """
     grid = Grid(km / KM_PER_DEGREE / cells_per_radius)
-    spots = grid.place(
-        points.groupBy("latitude", "longitude", F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n")),
-        "latitude", "longitude")
+    # Read several times below, so the points are computed once and kept in shared storage.
+    placed = persist_table(grid.place(points, "latitude", "longitude"), "points")
+    spots = placed.groupBy("latitude", "longitude", "_band", "_cell", F.col(group).alias("_g")).agg(
+        F.count(F.lit(1)).alias("_n"))
     here = ["_band", "_cell"]
     there = ["_b_band", "_b_cell"]
     cells = spots.groupBy(*here, "_g").agg(F.sum("_n").alias("_n"))
-    occupied = cells.select(*[F.col(c).alias(t) for c, t in zip(here, there)]).distinct()
+    own = spots.select(*here).distinct()
+    occupied = own.withColumnsRenamed(dict(zip(here, there)))
 
-    own = cells.select(*here).distinct()
-    a = grid.box(F.col("_band"), F.col("_cell"))
     half = grid.height / 2
-    reached = grid.reach(own, a["lat"] - half, a["lat"] + half, a["lon"] - a["half_width"],
-                         a["lon"] + a["half_width"], km, *there)
-    pairs = reached.join(occupied, there)
-    nearest, farthest = _box_distance(a, grid.box(F.col("_b_band"), F.col("_b_cell")), grid.height)
-    pairs = pairs.withColumns({"_nearest": nearest, "_farthest": farthest}).filter(
-        F.col("_nearest") <= km + _SLACK_KM)
-    whole = F.col("_farthest") <= km - _SLACK_KM
+    reached = grid.reach(grid.with_box(own, "_band", "_cell", "a_"), f"(a_lat - {half!r}D)", f"(a_lat + {half!r}D)",
+                         "(a_lon - a_half)", "(a_lon + a_half)", km, *there)
+    pairs = grid.with_box(reached.join(occupied, there), *there, "b_")
+    pairs = _with_bounds(pairs, grid.height).filter(F.col("_near") <= km + _SLACK_KM).select(
+        *here, *there, (F.col("_far") <= km - _SLACK_KM).alias("_whole"))
+    whole = F.col("_whole")
 
     far_cells = cells.withColumnsRenamed(dict(zip(here, there)))
     inside = (pairs.filter(whole).join(far_cells, there).groupBy(*here, "_g")
@@ -170,20 +172,21 @@ def neighbour_counts(points: DataFrame, km: float, group: str, cells_per_radius:
     counted = counted.select("latitude", "longitude", F.col("_g").alias(group),
                              (same - 1).alias("same_group_count"),
                              (F.col("_in_all") + F.col("_rim_all") - same).alias("other_group_count"))
-    return points.join(counted, ["latitude", "longitude", group])
+    return placed.drop(*here).join(counted, ["latitude", "longitude", group])
 
 
 def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", height: float = 22.5,
-                  split: int = 8, levels: int = 5) -> DataFrame:
+                  split: int = 16, levels: int = 4) -> DataFrame:
     """Points with the distance to the nearest point of another group; points without one drop out.
 
     Grids from continents down to city blocks narrow the search.  On each grid a (cell, group)
     keeps the cells that can still hold the nearest point: those no farther than the surest
     cell is at most.  What is left on the finest grid is compared point by point.
     """
-    spots = points.select("latitude", "longitude", F.col(group).alias("_g")).distinct()
     grids = [Grid(height, split ** level) for level in range(levels)]
-    spots = grids[-1].place(spots, "latitude", "longitude")
+    # Every grid reads the points again, so they are computed once and kept in shared storage.
+    placed = persist_table(grids[-1].place(points, "latitude", "longitude"), "points")
+    spots = placed.select("latitude", "longitude", "_band", "_cell", F.col(group).alias("_g")).distinct()
 
     def at(level: int, column: str) -> Column:
         return F.floor(F.col(column) / split ** (levels - 1 - level)).cast("long")
@@ -212,11 +215,9 @@ def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", h
             candidates = (candidates.withColumnsRenamed({c: f"_p{c}" for c in ("_ab", "_ac", "_bb", "_bc")})
                           .join(finer, ["_p_ab", "_p_ac", "_g"]).join(aims, ["_p_bb", "_p_bc"])
                           .filter(other).select("_ab", "_ac", "_g", "_bb", "_bc"))
-        nearest, farthest = _box_distance(grid.box(F.col("_ab"), F.col("_ac")),
-                                          grid.box(F.col("_bb"), F.col("_bc")), grid.height)
+        boxed = grid.with_box(grid.with_box(candidates, "_ab", "_ac", "a_"), "_bb", "_bc", "b_")
         unit = Window.partitionBy("_ab", "_ac", "_g")
-        candidates = (candidates.withColumns({"_near": nearest, "_far": farthest})
-                      .withColumn("_bound", F.min("_far").over(unit))
+        candidates = (_with_bounds(boxed, grid.height).withColumn("_bound", F.min("_far").over(unit))
                       .filter(F.col("_near") <= F.col("_bound") + _SLACK_KM)
                       .select("_ab", "_ac", "_g", "_bb", "_bc"))
 
@@ -227,7 +228,8 @@ def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", h
              .filter(F.col("_bg") != F.col("_g")).groupBy("latitude", "longitude", "_g")
              .agg(F.min(haversine_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon")))
                   .alias(distance)))
-    return points.join(found.withColumnRenamed("_g", group), ["latitude", "longitude", group])
+    return placed.drop("_band", "_cell").join(
+        found.withColumnRenamed("_g", group), ["latitude", "longitude", group])
 
 
 def top_bottom_n(df: DataFrame, part: str, metric: str, n: int, tie: str,

@@ -28,8 +28,12 @@ class Tables:
 
     @cached_property
     def as_of(self) -> Column:
-        """Given time, else the newest event: a scalar subquery, not a driver value."""
-        return as_of_column(self._as_of) if self._as_of is not None else latest_time(self.parsed)
+        """Given time, else the newest measurement: a scalar subquery, not a driver value.
+
+        Measurements carry their time as a column, so this reads four columns; the newest
+        event would mean parsing every log line.
+        """
+        return as_of_column(self._as_of) if self._as_of is not None else latest_time(self.metrics)
 
     @cached_property
     def parsed(self) -> DataFrame:
