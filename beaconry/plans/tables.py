@@ -134,4 +134,7 @@ def refresh(tables: Tables, save: Callable[[str, DataFrame], DataFrame], process
         attribute = graph[name][0]
         stored[name] = save(name, getattr(tables, attribute).withColumn("processed_timestamp", stamp))
         tables.__dict__[attribute] = stored[name].drop("processed_timestamp")
+        if attribute == "metrics" and tables._as_of is None:
+            # All later tables take the same "now", from the stored measurements.
+            tables.__dict__["as_of"] = latest_time(stored[name])
     return stored
