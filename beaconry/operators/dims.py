@@ -37,8 +37,10 @@ def dim_devices(metrics: DataFrame, as_of: AsOf) -> DataFrame:
 
 def dim_stores(metrics: DataFrame, as_of: AsOf) -> DataFrame:
     keys = ["store_id", "store_category", "store_type", "region", "brand", "district", "address"]
-    stores = metrics.groupBy(*keys).agg(
-        *[F.min_by(c, F.struct("event_timestamp", c)).alias(c) for c in ("latitude", "longitude")])
+    point = ["latitude", "longitude"]
+    # Distinct positions first, by hash; only those few are then ordered by time.
+    positions = metrics.groupBy(*keys, *point).agg(F.min("event_timestamp").alias("_since"))
+    stores = positions.groupBy(*keys).agg(*[F.min_by(c, F.struct("_since", *point)).alias(c) for c in point])
     tiers = [((F.col("store_category") == category) & (F.col("store_type") == kind), tier)
              for (category, kind), tier in STORE_TIERS.items()]
     return stores.withColumns({

@@ -14,14 +14,21 @@ from beaconry.profiles.base import Penalty, Profile, Scoring
 from beaconry.profiles.retail import OTHER_SCORE
 
 
-def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Newest row per key as a maximum over structs.
-
-    A maximum combines before the shuffle, unlike ROW_NUMBER, so a key that holds a large
-    share of the rows costs one row per task.  ``values`` also break ties.
+def latest_per(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str],
+               within: Sequence[str] = ()) -> DataFrame:
+    """Newest row per key, without ranking the rows of a key in one task.
+
+    The first step keeps the newest ``values`` per key and ``within`` columns.  Its buffers are
+    fixed-width numbers and times, so it is a hash aggregation that combines before the
+    shuffle.  The second picks among the few rows left; their columns break ties.
+    ``within`` should make rows of one ``order`` value unique.
     """
-    newest = df.groupBy(*keys).agg(F.max(F.struct(*order, *values)).alias("row"))
-    return newest.select(*keys, *[F.col("row")[c].alias(c) for c in (*order, *values)])
+    inner = list(dict.fromkeys([*keys, *within]))
+    newest = df.groupBy(*inner).agg(F.max(order).alias(order),
+                                    *[F.max_by(c, order).alias(c) for c in values])
+    rest = [c for c in inner if c not in keys]
+    picked = newest.groupBy(*keys).agg(F.max(F.struct(order, *rest, *values)).alias("row"))
+    return picked.select(*keys, *[F.col("row")[c].alias(c) for c in (order, *rest, *values)])
 
 
 def score_from_rules(groups: Sequence[Sequence[Penalty]], column=F.col) -> Column:
@@ -53,8 +60,8 @@ def health(perf: DataFrame, events: DataFrame, profile: Profile, as_of: AsOf,
     """
     place = ["latitude", "longitude"] if "latitude" in perf.columns else []
     keys = [profile.entity, *profile.health_attributes]
-    latest = latest_per(perf, [profile.entity, "metric_name"], ["window_end"],
-                        [*profile.health_attributes, *place, "avg_value"])
+    within = list(dict.fromkeys([*profile.health_attributes, *(c for c in profile.rollup_keys if c in perf.columns)]))
+    latest = latest_per(perf, [profile.entity, "metric_name"], "window_end", ["avg_value", *place], within)
     wide = latest.groupBy(*keys).agg(
         *[F.min_by(c, F.struct("metric_name", c)).alias(c) for c in place],
         *[F.max(F.when(F.col("metric_name") == metric, F.col("avg_value"))).alias(name)

@@ -102,7 +102,7 @@ def drive_through(perf: DataFrame) -> DataFrame:
     lanes = perf.filter((F.col("store_category") == "fast_food") & F.col("metric_name").isin(metrics))
     keys = ["window_start", "window_end", "store_id", "store_type", "region", "brand"]
     wide = lanes.groupBy(*keys).agg(
-        *[F.min_by(c, F.struct("metric_name", c)).alias(c) for c in ("latitude", "longitude")],
+        *[F.min(c).alias(c) for c in ("latitude", "longitude")],
         *[F.max(F.when(F.col("metric_name") == metric, F.col(column))).alias(name)
           for name, (metric, column) in DRIVE_THROUGH_MEASURES.items()],
     )

@@ -127,19 +127,21 @@ def session_failures(sessions: DataFrame, events: DataFrame, reach: str = "5 min
     counted = interval_sums(sessions, events, ["device_id"], "session_start_time", "event_timestamp",
                             reach, reach, {"_events": F.lit(1), "_critical": F.col("is_critical").cast("int")})
     pairs = F.greatest(F.col("_events"), F.lit(1))
-
-    def weighted(column: str) -> Column:
-        weight = F.when(F.col(column).isNotNull(), pairs)
-        return F.sum(F.col(column) * weight) / F.sum(weight)
-
-    failed = F.when(F.col("is_successful"), F.lit(0)).otherwise(pairs)
-    return counted.groupBy("sip_method", "final_response_code").agg(
-        F.sum(pairs).alias("pair_count"), F.count_distinct("session_id").alias("session_count"),
-        F.sum(failed).alias("failed_sessions"),
-        F.count_distinct(F.when(F.col("_critical") > 0, F.col("session_id"))).alias("sessions_with_critical_events"),
-        _rounded(weighted("invite_response_time_ms"), 2, rounded).alias("avg_invite_response_ms"),
-        _rounded(weighted("session_setup_time_ms"), 2, rounded).alias("avg_setup_time_ms"),
-    ).orderBy(F.desc("failed_sessions"), "sip_method", "final_response_code")
+    timings = {"avg_invite_response_ms": "invite_response_time_ms", "avg_setup_time_ms": "session_setup_time_ms"}
+    keys = ["sip_method", "final_response_code"]
+    # Down to one row per session first: the two distinct counts become plain counts.
+    sessions = counted.groupBy(*keys, "session_id").agg(
+        F.sum(pairs).alias("_pairs"),
+        F.sum(F.when(F.col("is_successful"), F.lit(0)).otherwise(pairs)).alias("_failed"),
+        F.max(F.col("_critical") > 0).alias("_hit"),
+        *[F.sum(F.col(c) * pairs).alias(f"_{c}_sum") for c in timings.values()],
+        *[F.sum(F.when(F.col(c).isNotNull(), pairs)).alias(f"_{c}_n") for c in timings.values()])
+    return sessions.groupBy(*keys).agg(
+        F.sum("_pairs").alias("pair_count"), F.count("session_id").alias("session_count"),
+        F.sum("_failed").alias("failed_sessions"),
+        F.count(F.when(F.col("_hit"), F.col("session_id"))).alias("sessions_with_critical_events"),
+        *[_rounded(F.sum(f"_{c}_sum") / F.sum(f"_{c}_n"), 2, rounded).alias(name) for name, c in timings.items()],
+    ).orderBy(F.desc("failed_sessions"), *keys)
 
 
 def regional_kpis(hourly_calls: DataFrame, perf: DataFrame, as_of: AsOf | None = None,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +30,19 @@ def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), mode
     return df.sparkSession.table(name)
 
 
+def table_writer(spark: SparkSession, root: str) -> Callable[[str, DataFrame], DataFrame]:
+    """``save(name, df)`` for a refresh: files under ``root/name``, rows of one entity and time close
+    together so that later filters skip row groups."""
+    def save(name: str, df: DataFrame) -> DataFrame:
+        order = [c for c in ("device_id", "store_id", "window_start", "event_timestamp", "hour_start")
+                 if c in df.columns]
+        out = df.hint("rebalance")
+        (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite").parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
+    return save
+
+
 def append_merging_schema(df: DataFrame, path: str) -> None:
     """Append files whose columns may be more or fewer than before; read with mergeSchema."""
     df.write.mode("append").parquet(path)

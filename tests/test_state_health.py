@@ -59,7 +59,7 @@ def test_missing_accuracy(spark):
 
 def test_latest_per(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 3, 1.0), ("b", 2, 2.0)], "k string, t int, v double")
-    assert {(r.k, r.t, r.v) for r in latest_per(df, ["k"], ["t"], ["v"]).collect()} == {("a", 3, 1.0), ("b", 2, 2.0)}
+    assert {(r.k, r.t, r.v) for r in latest_per(df, ["k"], "t", ["v"]).collect()} == {("a", 3, 1.0), ("b", 2, 2.0)}
 
 
 def _metrics(spark, rows):
