@@ -26,7 +26,7 @@ def event_impact(samples: DataFrame, events: DataFrame,
 
     An event counts while it is less than ``minutes`` old; severe and fresh events weigh
     more.  Equal events at one instant collapse to a power, equal sample times to one point,
-    so pairs exist only between distinct times and are reduced where they are formed.
+    so a store's bucket holds distinct times only, and pairs are reduced where they are formed.
     """
     keys = ["store_id", "metric_name"]
     by_event = F.create_map(*[x for event, effect in impacts.items()

@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from beaconry.functions.time import interval_micros, micros
 
 
+# Rows of one key and time bucket that a task should still take in one piece.
+ROWS_PER_PART = 1_000_000
+
+
 def enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join with a dimension.  No hint: the size of the dimension, read from its files or
     measured at run time, decides between broadcast and shuffle; skewed keys are split."""
@@ -26,24 +30,37 @@ def _bucket(value: Column, width: int) -> Column:
     return value - F.pmod(value, F.lit(width))
 
 
-def split_hot_groups(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                     rows_per_part: int) -> tuple[DataFrame, DataFrame]:
-    """Add ``_part`` to both sides so that no (keys, _part) group of ``left`` is large.
+def split_hot_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_part: int,
+                     split_right: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Add ``_part`` to both sides so that no (keys, _part) group is large on either.
 
-    Groups over ``rows_per_part`` rows are cut by row hash; their right rows are repeated
-    once per part.  The table of hot groups has at most total / rows_per_part rows, which is
-    what makes broadcasting it safe.
+    A group over ``rows_per_part`` rows is cut by row hash, and the other side's rows are
+    repeated once per piece; a group hot on both sides becomes a raster of pieces.  An outer
+    join must not repeat its outer side, so there ``split_right`` is off.  The table of hot
+    groups has at most (left + right rows) / rows_per_part rows: that bound is why it may be
+    broadcast.
     """
-    hot = (left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_part)
-           .select(*keys, F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts")))
+    def sizes(df: DataFrame, name: str) -> DataFrame:
+        return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_part)
+                .select(*keys, F.ceil(F.col("_n") / rows_per_part).cast("int").alias(name)))
+
+    hot = sizes(left, "_left")
+    if split_right:
+        hot = hot.join(sizes(right, "_right"), list(keys), "full_outer").fillna(1, ["_left", "_right"])
+    else:
+        hot = hot.withColumn("_right", F.lit(1))
     hot = F.broadcast(hot)
-    columns = left.columns
-    left = left.join(hot, list(keys), "left").withColumn(
-        "_part", F.when(F.col("_parts").isNull(), 0)
-        .otherwise(F.pmod(F.xxhash64(*columns), F.col("_parts")).cast("int"))).drop("_parts")
-    right = right.join(hot, list(keys), "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))).drop("_parts")
-    return left, right
+
+    def piece(df: DataFrame, own: str, other: str, part: str) -> DataFrame:
+        columns = df.columns
+        df = df.join(hot, list(keys), "left").fillna(1, ["_left", "_right"])
+        mine = F.pmod(F.xxhash64(*columns), F.col(own)).cast("int")
+        theirs = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return (df.withColumns({"_mine": mine, "_theirs": theirs})
+                .withColumn("_part", F.expr(part)).drop("_left", "_right", "_mine", "_theirs"))
+
+    return (piece(left, "_left", "_right", "_mine * _right + _theirs"),
+            piece(right, "_right", "_left", "_theirs * _right + _mine"))
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
@@ -54,7 +71,8 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_tim
     Every left row sits in one bucket and every right row is repeated into the buckets its
     partners can be in (two at most), so no pair appears twice and outer joins stay correct.
     ``closed`` says whether the ends belong to the interval.  With ``rows_per_part`` buckets
-    measured to be hot are split further.  Both sides may be streams with watermarks.
+    measured to be hot are split further (batch only: it counts the rows per bucket first).
+    Without it both sides may be streams with watermarks.
     """
     back, ahead = (interval_micros(before) if before else 0), (interval_micros(after) if after else 0)
     width = max(back + ahead, 1)
@@ -64,7 +82,7 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_tim
     rhs = right.withColumn("_bucket", F.explode(F.sequence(first, last, F.lit(width))))
     keys = [*on, "_bucket"]
     if rows_per_part:
-        lhs, rhs = split_hot_groups(lhs, rhs, keys, rows_per_part)
+        lhs, rhs = split_hot_groups(lhs, rhs, keys, rows_per_part, split_right=how == "inner")
         keys.append("_part")
     rhs = rhs.withColumnsRenamed({k: f"_r_{k}" for k in keys})
 

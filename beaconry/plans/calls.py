@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from beaconry.functions.rules import first_case, like_label
 from beaconry.functions.time import AsOf, as_of_column
-from beaconry.operators.joins import enrich, interval_join, interval_sums, window_containment_join
+from beaconry.operators.joins import ROWS_PER_PART, enrich, interval_join, interval_sums, window_containment_join
 from beaconry.profiles.network import REGION_PATTERNS
 
 
@@ -113,7 +113,7 @@ def session_events(sessions: DataFrame, events: DataFrame, reach: str = "5 minut
                            "event_category", "severity_name",
                            F.col("is_critical").alias("network_event_critical"))
     return interval_join(sessions, nearby, ["device_id"], "session_start_time", "network_event_time",
-                         before=reach, after=reach, how="left")
+                         before=reach, after=reach, how="left", rows_per_part=ROWS_PER_PART)
 
 
 def session_failures(sessions: DataFrame, events: DataFrame, reach: str = "5 minutes",

@@ -2,35 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """Number of state partitions of queries started inside; their checkpoint keeps it for good."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        if count:
+            spark.conf.set(key, count)
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _triggered(writer, every: str, once: bool):
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
 
 
 def write_stream(df: DataFrame, target: str, checkpoint: str, every: str = "5 seconds", once: bool = False,
-                 partition_by: Sequence[str] = (), as_table: bool = False) -> StreamingQuery:
+                 partition_by: Sequence[str] = (), as_table: bool = False,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """Append to files or a table, exactly once through the checkpoint.
 
     ``once`` processes what is there and stops.  Delete the checkpoint for a full refresh.
+    ``state_partitions`` sizes a stateful query on its first start; the number of cores of
+    the cluster is a good value.
     """
     writer = _triggered(df.writeStream.outputMode("append").format("parquet")
                         .option("checkpointLocation", checkpoint), every, once)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.toTable(target) if as_table else writer.start(target)
+    with _state_partitions(df.sparkSession, state_partitions):
+        return writer.toTable(target) if as_table else writer.start(target)
 
 
 def write_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
-                  mode: str = "append", every: str = "5 seconds", once: bool = False) -> StreamingQuery:
+                  mode: str = "append", every: str = "5 seconds", once: bool = False,
+                  state_partitions: int | None = None) -> StreamingQuery:
     """Hand every micro-batch to ``write(batch, batch_id)``, which must be repeatable."""
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
-    return _triggered(writer, every, once).start()
+    with _state_partitions(df.sparkSession, state_partitions):
+        return _triggered(writer, every, once).start()
 
 
 def append_batches(df: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:

@@ -46,9 +46,10 @@ def refresh_windows(silver: DataFrame, profile: Profile, path: str, checkpoint:
     return upsert_batches(rollup_5min(silver, profile, watermark=watermark), path, checkpoint, once=once)
 
 
-def drain(df: DataFrame, target: str, checkpoint: str, timeout: int = 600) -> None:
+def drain(df: DataFrame, target: str, checkpoint: str, timeout: int = 600,
+          state_partitions: int | None = None) -> None:
     """Process everything available, then stop."""
-    query = write_stream(df, target, checkpoint, once=True)
+    query = write_stream(df, target, checkpoint, once=True, state_partitions=state_partitions)
     if not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError("stream did not drain in time")

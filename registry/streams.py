@@ -22,9 +22,13 @@ from registry.lake import Lake
 from registry.pipeline import _LOG, _STATS
 
 
+def _cores(lake: Lake) -> int:
+    return lake.spark.sparkContext.defaultParallelism
+
+
 def _drained(lake: Lake, df: DataFrame, label: str) -> DataFrame:
     home = scratch_path(lake.spark, label)
-    drain(df, f"{home}/data", f"{home}/checkpoint")
+    drain(df, f"{home}/data", f"{home}/checkpoint", state_partitions=_cores(lake))
     return lake.spark.read.parquet(f"{home}/data")
 
 
@@ -49,7 +53,8 @@ add("stream_dedup", _stream_dedup,
 def _stream_rollup(lake: Lake) -> DataFrame:
     rolled = stream_rollup(lake.stream("fx_metrics", "events"), NETWORK, "event_timestamp")
     home = scratch_path(lake.spark, "rollup")
-    upsert_batches(rolled, f"{home}/data", f"{home}/checkpoint", once=True).awaitTermination()
+    upsert_batches(rolled, f"{home}/data", f"{home}/checkpoint", once=True,
+                   state_partitions=_cores(lake)).awaitTermination()
     return read_latest(lake.spark, f"{home}/data", ["window_start", "window_end", *NETWORK.rollup_keys])
 
 
