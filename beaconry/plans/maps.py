@@ -9,7 +9,7 @@ from beaconry.functions.rules import band_label, bucket_label
 from beaconry.functions.time import AsOf, as_of_column
 from beaconry.operators.geo import near_point, nearest_other, neighbour_counts, top_bottom_n
 from beaconry.profiles.retail import (
-    DENSITY_BANDS, HARDWARE_EVENTS, INCIDENT_EVENTS, MAP_CATEGORIES, MAP_PERIODS, PRESSURE_BANDS,
+    DENSITY_BANDS, INCIDENT_EVENTS, MAP_CATEGORIES, MAP_PERIODS, PRESSURE_BANDS,
 )
 
 TOTAL_TIME = "drive_through_total_experience_time_sec"
@@ -121,9 +121,3 @@ def regional_summary(health: DataFrame) -> DataFrame:
         F.sum("event_count_1h").alias("total_events_1h"),
         F.sum("critical_event_count_1h").alias("total_critical_events_1h"),
     ).orderBy(F.desc("avg_health_score"), "region")
-
-
-__all__ = [
-    "HARDWARE_EVENTS", "event_density", "failure_clusters", "heat_map", "market_saturation", "nearby_stores",
-    "nearest_competitor", "regional_summary", "store_map", "time_period_map", "top_bottom",
-]

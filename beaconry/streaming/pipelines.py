@@ -15,9 +15,9 @@ from beaconry.operators.metrics import validate_metrics
 from beaconry.operators.rollups import rollup_5min
 from beaconry.profiles.base import Profile
 from beaconry.sinks.streams import append_batches, upsert_batches, write_stream
-from beaconry.sources.readers import read_text_stream, with_ingest_time, with_source_file
+from beaconry.sources.readers import read_text_stream
 from beaconry.sources.schema import (
-    RESCUED, evolve_schema, load_schema, save_schema, unknown_columns, with_rescued_data,
+    RESCUED, evolve_schema, load_schema, save_schema, with_rescued_data,
 )
 
 
@@ -103,7 +103,3 @@ def _schema_of_rescued(rescued: DataFrame, schema: StructType) -> StructType:
     # One row per column name: as small as a schema.
     ddl = ", ".join(f"`{r.key}` {r.kind}" for r in kinds.orderBy("key").collect())
     return StructType.fromDDL(ddl) if ddl else StructType([])
-
-
-__all__ = ["drain", "ingest_json", "read_ingested", "refresh_windows", "stream_events", "stream_interval_join", "stream_rollup",
-           "unknown_columns", "with_ingest_time", "with_source_file"]

@@ -13,7 +13,6 @@ from beaconry.operators.rollups import rollup_5min, rollup_by_place
 from beaconry.profiles import NETWORK, RETAIL
 from beaconry.sinks.tables import table_counts
 from registry.core import add
-from registry.oracle import NET_AS_OF, RET_AS_OF
 
 _LOG = ["priority", "version", "log_timestamp", "hostname", "app_name", "proc_id", "msg_id", "structured_data",
         "message", "raw_message", "facility", "severity", "severity_name", "event_timestamp", "event_category",
@@ -202,5 +201,3 @@ add("table_counts",
     " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {s}" for n, s in [
         ("performance", "net_perf"), ("health", "net_health"), ("events", "net_events"),
         ("by_location", "net_place"), ("kpi", "net_kpi")]))
-
-__all__ = ["NET_AS_OF", "RET_AS_OF"]
