@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import chat, exact, fingerprints, mixing, packing, token_counts
+from beaconry.llm import brown, chat, exact, fingerprints, mixing, packing, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,14 @@ def fingerprints_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
 
 
+def brown_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_documents(_table(spark, sf_dir, "documents"))
+
+
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def exact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.resolve(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +51,8 @@ QUERIES = {
     "op1_source_mixing": mixing_query,
     "op2_token_counts": token_counts_query,
     "op3_fingerprints": fingerprints_query,
+    "op4_brown_scoring": brown_query,
+    "op6_toxicity": toxicity_query,
     "op8_exact_dedup": exact_query,
     "op9_best_fit_packing": packing_query,
     "op10_chat_formatting": chat_query,
