@@ -11,6 +11,7 @@ the table of runs is bounded by the capacity however many documents there are.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
@@ -22,67 +23,78 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from beaconry.llm.text import per_process
 from beaconry.session import persist_table
 
 CAPACITY, END_ID = 4096, 1
 PIECES = ("doc_id long, piece int, start long, length int, ids_crc32 long, part int, ordinal long")
 
 
+def byte_letters() -> list[str]:
+    """The character that a byte-level vocabulary writes for each byte: itself if printable, else the next from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
 class WordTokenizer:
     """Ids of whole texts by a `tokenizers` file that drops white space, remembered word by word.
 
-    A white-space-free stretch is tokenised by itself: the file's pattern never crosses white space.
-    A stretch of letters, with at most one mark behind it, is split before the mark, as the pattern
-    does. Texts that hold the opening of a special token go through the library whole.
+    The file's steps, taken from it: NFC, lower case, its pattern, byte letters, its model. No step
+    looks across white space, so each distinct stretch between white space is worked out once and
+    remembered (up to ``limit`` of them). Texts that hold the opening of a special token go through
+    the library whole.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 500_000):
+        import json
+
+        import regex
         from tokenizers import Tokenizer
-        self.whole, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.whole, self.limit, self.known, self.pieces = Tokenizer.from_file(path), limit, {}, {}
         self.model = self.whole.model
-        self.marks = {m: self._batch([m.decode()])[0] for m in (b".", b",", b";", b":", b"!", b"?")}
-
-    def _batch(self, texts: list[str]) -> list[bytes]:
-        made = self.whole.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in made]
-
-    def _learn(self, new: set[bytes]) -> None:
-        if len(self.known) + len(new) > self.limit:
+        with open(path, encoding="utf-8") as file:
+            steps = json.load(file)
+        split, level = steps["pre_tokenizer"]["pretokenizers"]
+        kinds = [n["type"] for n in steps["normalizer"]["normalizers"]]
+        if kinds != ["NFC", "Replace", "Lowercase"] or not split["invert"] or level["type"] != "ByteLevel":
+            raise ValueError("this tokenizer file has other steps")
+        # Unlike here, the file's white space leaves out the separators 1C to 1F.
+        self.pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+        self.letters = dict(enumerate(byte_letters()))
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= self.limit:
+                self.pieces = {}
+            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[piece] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+        return ids
+
+    def _learn(self, word: bytes) -> bytes:
+        if len(self.known) >= self.limit:
             self.known = {}
-        hard, tails = {}, []
-        for word in new:
-            stem, mark = (word[:-1], word[-1:]) if word[-1:] in self.marks else (word, b"")
-            if stem.isalpha():  # ASCII letters only: the model's own alphabet
-                self.known[word] = (np.array([t.id for t in self.model.tokenize(stem.decode())], "<u4").tobytes()
-                                    + self.marks.get(mark, b""))
-            elif mark and stem.decode().isalpha():
-                hard.setdefault(stem)
-                tails.append((word, stem, mark))
-            else:
-                hard.setdefault(word)
-        for word, ids in zip(hard, self._batch([w.decode() for w in hard]) if hard else []):
-            hard[word] = self.known[word] = ids
-        for word, stem, mark in tails:
-            self.known[word] = hard[stem] + self.marks[mark]
+        text = word.decode()
+        if not text.isascii():
+            text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+        pieces = [text] if word.isalpha() else self.pattern.findall(text)
+        ids = self.known[word] = b"".join(map(self._piece, pieces))
+        return ids
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if "<|" in text:
-            return self._batch([text])[0]
-        words = text.encode().lower().split()
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            new = set(words)
-            self._learn(new if len(known) + len(new) > self.limit else {w for w in new if w not in known})
-        return b"".join([self.known[w] for w in words])
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        known, learn = self.known.get, self._learn
+        return b"".join([known(w) or learn(w) for w in text.encode().lower().split()])
 
 
 def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of each document's ids and end id, stored. (part, length, ordinal) names a piece."""
     def run(batches):
-        encode, part = WordTokenizer(tokenizer), TaskContext.get().partitionId()
+        encode = per_process(("word tokenizer", tokenizer), lambda: WordTokenizer(tokenizer))
+        part = TaskContext.get().partitionId()
         seen, end = np.zeros(capacity + 1, np.int64), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
@@ -63,6 +65,9 @@ def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def column_batches(batches) -> Iterator[dict[str, list]]:
-    for batch in batches:
-        yield {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
+def per_process(key: tuple, make: Callable):
+    """What ``make`` returns, kept for the life of this Python worker, which serves many tasks."""
+    kept = sys.modules.setdefault("beaconry_worker_state", types.ModuleType("beaconry_worker_state")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
