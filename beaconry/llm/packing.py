@@ -60,7 +60,8 @@ class WordTokenizer:
         if kinds != ["NFC", "Replace", "Lowercase"] or not split["invert"] or level["type"] != "ByteLevel":
             raise ValueError("this tokenizer file has other steps")
         # Unlike here, the file's white space leaves out the separators 1C to 1F.
-        self.pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+        self.pattern = regex.compile(split["pattern"]["Regex"].replace(
+            r"\s", r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"))
         self.letters = dict(enumerate(byte_letters()))
 
     def _piece(self, piece: str) -> bytes:
