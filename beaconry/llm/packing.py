@@ -69,7 +69,7 @@ class WordTokenizer:
         if ids is None:
             if len(self.pieces) >= self.limit:
                 self.pieces = {}
-            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            spelled = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
             ids = self.pieces[piece] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
         return ids
 
