@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import brown, chat, exact, fingerprints, mixing, packing, token_counts, toxicity
+from beaconry.llm import brown, chat, exact, fingerprints, jaccard, mixing, packing, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def brown_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(_table(spark, sf_dir, "documents"), jaccard.Rule(4, 85))
+
+
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op2_token_counts": token_counts_query,
     "op3_fingerprints": fingerprints_query,
     "op4_brown_scoring": brown_query,
+    "op5_ngram_jaccard": jaccard_query,
     "op6_toxicity": toxicity_query,
     "op8_exact_dedup": exact_query,
     "op9_best_fit_packing": packing_query,
