@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import brown, chat, exact, fingerprints, jaccard, mixing, packing, token_counts, toxicity
+import corpus_pipeline
+from beaconry.llm import brown, chat, exact, fingerprints, jaccard, mixing, packing, repeats, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,10 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def repeats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def exact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.resolve(_table(spark, sf_dir, "documents"))
 
@@ -58,9 +63,11 @@ QUERIES = {
     "op4_brown_scoring": brown_query,
     "op5_ngram_jaccard": jaccard_query,
     "op6_toxicity": toxicity_query,
+    "op7_suffix_dedup": repeats_query,
     "op8_exact_dedup": exact_query,
     "op9_best_fit_packing": packing_query,
     "op10_chat_formatting": chat_query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {"op8_exact_dedup": exact.SQL, "op10_chat_formatting": chat.SQL}
