@@ -73,12 +73,29 @@ def common_bits(docs: DataFrame, rule: Rule) -> np.ndarray:
 
 
 def bit_table(places: DataFrame) -> np.ndarray:
-    """Bits set at the given places; at most BITS / 32 rows come to the driver."""
-    packed = places.groupBy(F.expr("place div 32").alias("at")).agg(
-        F.expr("bit_or(shiftleft(1L, CAST(place % 32 AS INT)))").alias("bits")).toPandas()
-    out = np.zeros(BITS // 32, np.uint32)
-    out[packed["at"].to_numpy(np.int64)] = packed["bits"].to_numpy(np.int64)
-    return out
+    """32-bit words with the bits at the given places set.
+
+    Tasks build pieces of 2**16 bits, so the driver gets BITS / 8 bytes in a few rows, whatever the data.
+    """
+    span = min(BITS, 1 << 16)
+
+    def run(batches):
+        pieces = {}
+        for batch in batches:
+            place = batch.column(0).to_numpy()
+            for at in np.unique(place // span):
+                piece = pieces.setdefault(int(at), np.zeros(span, bool))
+                piece[place[place // span == at] % span] = True
+        if pieces:
+            yield pa.RecordBatch.from_arrays([pa.array(list(pieces), pa.int64()),
+                                              pa.array([np.packbits(p, bitorder="little").tobytes() for p in pieces.values()], pa.binary())],
+                                             ["at", "bits"])
+
+    spread = places.repartition(F.expr(f"place div {span}")).mapInArrow(run, "at long, bits binary")
+    out = np.zeros(BITS // 8, np.uint8)
+    for row in spread.toLocalIterator():
+        out[row["at"] * span // 8:(row["at"] + 1) * span // 8] |= np.frombuffer(row["bits"], np.uint8)
+    return out.view("<u4")
 
 
 def is_common(bits: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -155,7 +172,8 @@ def segments(docs: DataFrame, bits, needed: DataFrame, rule: Rule) -> DataFrame:
                                                  ["d", "f", "tokens"])
 
     found = docs.select("doc_id", "text").mapInArrow(run, "d binary, f int, tokens binary")
-    found = found.join(needed.select("d", "c"), "d").select("c", "f", "tokens")
+    # A copy of a representative may pass the bit table as well, so each segment is kept once.
+    found = found.join(needed.select("d", "c"), "d").select("c", "f", "tokens").dropDuplicates(["c", "f"])
     return persist_table(found, "segments")
 
 
