@@ -52,10 +52,10 @@ def targets(sizes: DataFrame) -> DataFrame:
     return levels.select("source", "source_size", "weight", F.least(cap, final * F.col("weight")).alias("target"))
 
 
-def running_totals(rows: DataFrame, group: list[str], order: list[str], value: str, levels: tuple[int, int]) -> DataFrame:
+def running_totals(rows: DataFrame, group: list[str], order: list[str], value: str) -> DataFrame:
     """Adds ``before``: the sum of ``value`` over earlier rows of the group, in the order of (h1, h2, order).
 
-    The columns h1 and h2 cut a group into levels[0] * levels[1] parts. Sums of parts are added up
+    The columns h1 and h2 cut a group into parts. Sums of parts are added up
     over parts, never over rows, so the longest window is a part or one level's number of parts.
     """
     def earlier(window):
@@ -86,7 +86,7 @@ def schedule(shares: DataFrame, slots: int, parts: int) -> DataFrame:
     points = spark.range(0, slots, 1, parts).select(F.col("id").alias("slot"), point.alias("point"),
                                                     F.expr("id div 65536").alias("h1"), F.expr("id div 1024 % 64").alias("h2"))
     named = points.withColumn("cell", F.expr(f"point div {width}")).join(spread, "cell").where("point >= low AND point < high")
-    return running_totals(named.select("slot", "src", "h1", "h2", F.lit(1).alias("one")), ["src"], ["slot"], "one", (0, 64))
+    return running_totals(named.select("slot", "src", "h1", "h2", F.lit(1).alias("one")), ["src"], ["slot"], "one")
 
 
 def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
@@ -125,9 +125,9 @@ def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
     side = max(16, int((number / 64) ** 0.5) + 1)
     hashed = F.xxhash64(F.lit(seed), "doc_id", "size")
     lined = running_totals(
-        _with_source(rows, aims)
-        .withColumn("h1", F.pmod(hashed, F.lit(side))).withColumn("h2", F.pmod(F.shiftright(hashed, 20), F.lit(side))),
-        ["src"], ["row"], "size", (side, side))
+        _with_source(rows, aims).withColumn("hash", hashed)
+        .withColumn("h1", F.pmod("hash", F.lit(side))).withColumn("h2", F.pmod(F.shiftright("hash", 20), F.lit(side))),
+        ["src"], ["hash", "doc_id", "size", "row"], "size")
     # A document meets the blocks from that of its first token to that of its last.
     lined = lined.withColumn("first", F.expr("before div length")).withColumn("last", F.expr("(before + size - 1) div length"))
     cut = lined.withColumn("block", F.explode(F.when(F.col("size") > 0, F.expr("sequence(first, last)")).otherwise(F.array(F.lit(-1).cast("long")))))
