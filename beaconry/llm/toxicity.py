@@ -77,23 +77,28 @@ def place_of(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(hit, at, len(table))
 
 
-def features(tables: dict, h: np.ndarray, variant: int) -> list[float]:
+def features(tables: dict, h: np.ndarray, halves: tuple[int, ...]) -> np.ndarray:
+    """Ratio per word by single words and by pairs, mean of the three largest, largest, log length.
+
+    Averaged over the models of the given halves. A document of the sample takes the one that had not
+    seen it; any other takes both, so its ratios are on the scale the weights were fitted on.
+    """
     if not len(h):
-        return [0.0] * 5
+        return np.zeros(5)
     place = place_of(tables["words"], h)
-    single = tables["single"][variant][place]
-    pair = single
-    if len(h) > 1:
-        known = place_of(tables["pairs"], pair_keys(h))
-        stored = np.append(tables["pair"][variant], 0)[known]
-        later = np.where(known < len(tables["pairs"]), stored, tables["back"][variant][place[:-1]] + single[1:])
-        pair = np.append(single[:1], later)
-    top = np.sort(np.partition(single, len(single) - 3)[-3:]) if len(single) > 3 else np.sort(single)
-    return [float(single.mean()), float(pair.mean()), float(top[-3:].mean()), float(top[-1]), float(np.log(len(h) + 1))]
+    known = place_of(tables["pairs"], pair_keys(h)) if len(h) > 1 else np.zeros(0, np.int64)
+    rows = []
+    for half in halves:
+        single = tables["single"][half][place]
+        later = np.where(known < len(tables["pairs"]), np.append(tables["pair"][half], 0)[known], tables["back"][half][place[:-1]] + single[1:])
+        pair = (single[0] + later.sum()) / len(h)
+        top = np.partition(single, len(single) - 3)[-3:] if len(single) > 3 else single
+        rows.append((single.mean(), pair, top.mean(), top.max(), np.log(len(h) + 1)))
+    return np.mean(rows, axis=0)
 
 
 def ratio_tables(totals: dict, single, pairs) -> dict:
-    """Log-likelihood ratios of words and word pairs, for the whole sample (2) or without half 0 or 1."""
+    """Log-likelihood ratios of words and word pairs, learned without half 0 or without half 1."""
     known_words = np.sort(single["w"].to_numpy().astype(np.int64).view(np.uint64))
     order = np.argsort(single["w"].to_numpy().astype(np.int64).view(np.uint64))
     single = single.iloc[order]
@@ -103,19 +108,19 @@ def ratio_tables(totals: dict, single, pairs) -> dict:
     place_v, place_w = (place_of(known_words, pairs[c].to_numpy().astype(np.int64).view(np.uint64)) for c in ("v", "w"))
     shared = (single["contexts"].to_numpy() + 0.5) / (totals["pair_types"] + 0.5 * (totals["types"] + 1))
     singles, backs, both_ = [], [], []
-    for without in (0, 1, 2):
-        cells = {c: [c + h for h in "01" if int(h) != without] for c in "ot"}
+    for without in (0, 1):
+        cells = {c: f"{c}{1 - without}" for c in "ot"}
         ratio = {}
         for c in "ot":
-            name = "".join(cells[c])
+            name = cells[c]
             n = max(totals["n_" + name], 1)
-            count = single[cells[c]].sum(axis=1).to_numpy()
+            count = single[name].to_numpy()
             left = totals["free_" + name] + 0.5  # never nothing, even for a half without documents of the class
             p = (np.maximum(count - DISCOUNT, 0) + left * shared) / (n + 0.5)
             p = np.append(p, left / (n + 0.5))  # the shared factor of an unknown word cancels out
             seen, free = single["n_" + name].to_numpy(), single["free_" + name].to_numpy()
             back = np.append(np.where(seen > 0, free / np.maximum(seen, 1), 1.0), 1.0)
-            n_pair = pairs[cells[c]].sum(axis=1).to_numpy()
+            n_pair = pairs[name].to_numpy()
             of = np.append(np.maximum(seen, 1), 1)[place_v]
             both = np.maximum(n_pair - DISCOUNT, 0) / of + back[place_v] * p[place_w]
             ratio[c] = [np.log(np.maximum(x, 1e-300)) for x in (p, back, both)]
@@ -147,12 +152,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     if not 0 < toxic < n:
         return None, (toxic + 1) / (n + 4)
     grams = persist_table(count_grams(chosen), "toxicity-grams")
-    unions = {"o0": "o0", "o1": "o1", "t0": "t0", "t1": "t1", "o0o1": "o0 + o1", "t0t1": "t0 + t1"}
-    sums = [F.expr(f"CAST(coalesce(sum({e}), 0) AS DOUBLE)").alias("n_" + k) for k, e in unions.items()]
-    sums += [F.expr(f"CAST(coalesce(sum(least({e}, {DISCOUNT})), 0) AS DOUBLE)").alias("free_" + k) for k, e in unions.items()]
+    sums = [F.expr(f"CAST(coalesce(sum({c}), 0) AS DOUBLE)").alias("n_" + c) for c in CELLS]
+    sums += [F.expr(f"CAST(coalesce(sum(least({c}, {DISCOUNT})), 0) AS DOUBLE)").alias("free_" + c) for c in CELLS]
     single, pairs = grams.where("v IS NULL").drop("v", "key"), grams.where("v IS NOT NULL")
     totals = single.agg(*sums, F.count(F.lit(1)).alias("types")).first().asDict() | {"pair_types": pairs.count()}
-    telling = f"o0 + o1 > {DISCOUNT} OR t0 + t1 > {DISCOUNT}"
+    telling = f"greatest(o0, o1, t0, t1) > {DISCOUNT}"
     contexts = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("contexts"))
     heads = pairs.groupBy(F.col("v").alias("w")).agg(*sums)
     table = single.where(telling).join(contexts, "w", "left").join(heads, "w", "left").na.fill(0).toPandas()
@@ -168,7 +172,7 @@ def _features(sample: DataFrame, ratios: dict) -> DataFrame:
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            rows = [features(shared.value, features_of_words(t, hashes), h)
+            rows = [features(shared.value, features_of_words(t, hashes), (h,))
                     for t, h in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.float64()))], ["toxic", "f"])
 
@@ -193,7 +197,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, ke
             if model is None:
                 scores = np.full(batch.num_rows, w)
             else:
-                x = np.array([features(model, features_of_words(t, hashes), 2) for t in batch.column(1).to_pylist()]).reshape(-1, 5)
+                x = np.array([features(model, features_of_words(t, hashes), (0, 1)) for t in batch.column(1).to_pylist()]).reshape(-1, 5)
                 scores = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
 
@@ -213,7 +217,7 @@ def clean_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         for batch in batches:
             if model is not None:
                 texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-                x = np.array([features(model, features_of_words(t, hashes), 2) for t in texts]).reshape(-1, 5)
+                x = np.array([features(model, features_of_words(t, hashes), (0, 1)) for t in texts]).reshape(-1, 5)
                 batch = batch.filter(pa.array(x @ w[:-1] + w[-1] < 0))
             elif w >= 0.5:
                 batch = batch.slice(0, 0)
