@@ -14,8 +14,8 @@ def _as_column(value: Column | float) -> Column:
 
 
 def distance_from_haversine(h: Column) -> Column:
-    """Rounding can push the term past 1, where ASIN is NaN, hence the clamp."""
-    return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    """Rounding can push the term past 1, where ASIN is NaN, hence the clamp; unknown stays unknown."""
+    return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
 
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:

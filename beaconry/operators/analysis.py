@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.functions.rules import band_label, first_case
-from beaconry.operators.joins import interval_join
+from beaconry.operators.joins import ROWS_PER_PART, interval_join
 from beaconry.profiles.retail import (
     EVENT_IMPACTS, HOUR_MULTIPLIERS, IMPACT_WINDOW_MINUTES, LANE_EFFICIENCY, LARGEST_ORDER_FACTOR,
     ORDER_FACTOR_SHARE, ORDER_FACTORS, TRANSIT_SECONDS,
@@ -21,24 +21,27 @@ def _literal_map(mapping: Mapping) -> Column:
 
 def event_impact(samples: DataFrame, events: DataFrame,
                  impacts: Mapping[str, Mapping[str, float]] = EVENT_IMPACTS,
-                 minutes: int = IMPACT_WINDOW_MINUTES) -> DataFrame:
+                 minutes: int = IMPACT_WINDOW_MINUTES, category: str | None = "fast_food",
+                 rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Samples with ``impact_factor``: the product of what recent events do to the metric.
 
     An event counts while it is less than ``minutes`` old; severe and fresh events weigh
-    more.  Equal events at one instant collapse to a power, equal sample times to one point,
+    more.  Only events of stores of ``category`` count (None: of all).  Equal events at one instant collapse to a power, equal sample times to one point,
     so a store's bucket holds distinct times only, and pairs are reduced where they are formed.
     """
     keys = ["store_id", "metric_name"]
     by_event = F.create_map(*[x for event, effect in impacts.items()
                               for x in (F.lit(event), _literal_map(effect))])
     known = events.filter(F.col("event_type").isin(list(impacts)))
+    if category is not None:
+        known = known.filter(F.col("store_category") == category)
     active = (known.groupBy("store_id", "event_type", "severity", F.col("event_timestamp").alias("_event_time"))
               .agg(F.count(F.lit(1)).alias("_n"))
               .select("store_id", "_event_time", "severity", "_n",
                       F.explode(by_event[F.col("event_type")]).alias("metric_name", "_impact")))
     points = samples.select(*keys, "event_timestamp").distinct()
     pairs = interval_join(points, active, keys, "event_timestamp", "_event_time",
-                          before=f"{minutes} minutes", closed=(False, True))
+                          before=f"{minutes} minutes", closed=(False, True), rows_per_part=rows_per_part)
     age = (F.unix_micros("event_timestamp") - F.unix_micros("_event_time")) / F.lit(60e6)
     severity = F.greatest(F.lit(0.0), (F.lit(6) - F.col("severity")) / F.lit(4.0))
     decay = F.greatest(F.lit(0.3), F.lit(1.0) - age / F.lit(float(minutes)) * F.lit(0.7))

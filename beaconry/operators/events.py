@@ -29,6 +29,16 @@ def dedup_events(parsed: DataFrame, profile: Profile, watermark: str | None = No
     return events.distinct()
 
 
+def with_store_region(events: DataFrame, stores: DataFrame) -> DataFrame:
+    """Events with the region that the store dimension knows; a host name only hints at it.
+
+    A store with several dimension rows takes the greatest region, so no event repeats.
+    """
+    regions = stores.groupBy(F.col("store_id").alias("_store")).agg(F.max("region").alias("_region"))
+    joined = events.join(regions, F.col("store_id") == F.col("_store"), "left")
+    return joined.withColumn("region", F.col("_region")).select(*events.columns)
+
+
 def enrich_events(events: DataFrame, as_of: AsOf) -> DataFrame:
     return events.withColumns({
         "hour_of_day": F.hour("event_timestamp"),

@@ -125,16 +125,21 @@ def near_point(points: DataFrame, lat: float, lon: float, km: float) -> DataFram
     return measured.filter(F.col("distance_km") <= km)
 
 
-def neighbour_counts(points: DataFrame, km: float, group: str, cells_per_radius: int = 8) -> DataFrame:
+def neighbour_counts(points: DataFrame, km: float, group: str, cells_per_radius: int = 8,
+                     key: str = "store_id") -> DataFrame:
     """Points with the number of others within ``km``, of the same and of another group.
 
+    Distinct ``key`` values at a place count, never the own one, so a repeated row adds nothing.  A
+    point without group or place is returned with zeros and counted by nobody.
+
     Cells are small against the radius, so most neighbour cells lie wholly inside the circle
     and add their count as one number; only cells cut by the circle are looked at point by
     point.  Crowded places therefore never pair up with themselves.
     """
     grid = Grid(km / KM_PER_DEGREE / cells_per_radius)
     # Read several times below, so the points are computed once and kept in shared storage.
-    placed = persist_table(grid.place(points, "latitude", "longitude"), "points")
+    known = points.select(key, "latitude", "longitude", group).dropna().distinct()
+    placed = persist_table(grid.place(known, "latitude", "longitude"), "points")
     spots = placed.groupBy("latitude", "longitude", "_band", "_cell", F.col(group).alias("_g")).agg(
         F.count(F.lit(1)).alias("_n"))
     here = ["_band", "_cell"]
@@ -172,12 +177,16 @@ def neighbour_counts(points: DataFrame, km: float, group: str, cells_per_radius:
     counted = counted.select("latitude", "longitude", F.col("_g").alias(group),
                              (same - 1).alias("same_group_count"),
                              (F.col("_in_all") + F.col("_rim_all") - same).alias("other_group_count"))
-    return placed.drop(*here).join(counted, ["latitude", "longitude", group])
+    counts = ["same_group_count", "other_group_count"]
+    return points.join(counted, ["latitude", "longitude", group], "left").fillna(0, counts)
 
 
 def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", height: float = 22.5,
                   split: int = 8, levels: int = 5) -> DataFrame:
-    """Points with the distance to the nearest point of another group; points without one drop out.
+    """Points with the distance to the nearest point of another group.
+
+    Points without a group, or where no other group exists, drop out; a point without a place, or
+    with no placed point of another group, keeps a NULL distance.
 
     Grids from continents down to city blocks narrow the search.  On each grid a (cell, group)
     keeps the cells that can still hold the nearest point: those no farther than the surest
@@ -185,7 +194,8 @@ def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", h
     """
     grids = [Grid(height, split ** level) for level in range(levels)]
     # Every grid reads the points again, so they are computed once and kept in shared storage.
-    placed = persist_table(grids[-1].place(points, "latitude", "longitude"), "points")
+    known = points.dropna(subset=["latitude", "longitude", group])
+    placed = persist_table(grids[-1].place(known, "latitude", "longitude"), "points")
     spots = placed.select("latitude", "longitude", "_band", "_cell", F.col(group).alias("_g")).distinct()
 
     def at(level: int, column: str) -> Column:
@@ -228,8 +238,10 @@ def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", h
              .filter(F.col("_bg") != F.col("_g")).groupBy("latitude", "longitude", "_g")
              .agg(F.min(haversine_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon")))
                   .alias(distance)))
-    return placed.drop("_band", "_cell").join(
-        found.withColumnRenamed("_g", group), ["latitude", "longitude", group])
+    groups = points.agg(F.min(group).alias("_low"), F.max(group).alias("_high"))  # one row
+    rivalled = points.crossJoin(groups).filter((F.col(group) != F.col("_low")) | (F.col(group) != F.col("_high")))
+    return rivalled.drop("_low", "_high").join(
+        found.withColumnRenamed("_g", group), ["latitude", "longitude", group], "left")
 
 
 def top_bottom_n(df: DataFrame, part: str, metric: str, n: int, tie: str,

@@ -36,9 +36,9 @@ def split_hot_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], row
 
     A group over ``rows_per_part`` rows is cut by row hash, and the other side's rows are
     repeated once per piece; a group hot on both sides becomes a raster of pieces.  An outer
-    join must not repeat its outer side, so there ``split_right`` is off.  The table of hot
-    groups has at most (left + right rows) / rows_per_part rows: that bound is why it may be
-    broadcast.
+    join must not repeat its outer side, so there ``split_right`` is off.  How the table
+    of hot groups is joined is left to Spark, which measures it.  Map columns take no part in the
+    hash.
     """
     def sizes(df: DataFrame, name: str) -> DataFrame:
         return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_part)
@@ -49,10 +49,9 @@ def split_hot_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], row
         hot = hot.join(sizes(right, "_right"), list(keys), "full_outer").fillna(1, ["_left", "_right"])
     else:
         hot = hot.withColumn("_right", F.lit(1))
-    hot = F.broadcast(hot)
 
     def piece(df: DataFrame, own: str, other: str, part: str) -> DataFrame:
-        columns = df.columns
+        columns = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
         df = df.join(hot, list(keys), "left").fillna(1, ["_left", "_right"])
         mine = F.pmod(F.xxhash64(*columns), F.col(own)).cast("int")
         theirs = F.explode(F.sequence(F.lit(0), F.col(other) - 1))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from beaconry.functions.time import AsOf, as_of_column, latest_time
 from beaconry.operators.dims import dim_devices, dim_stores
-from beaconry.operators.events import dedup_events, enrich_events
+from beaconry.operators.events import dedup_events, enrich_events, with_store_region
 from beaconry.operators.health import health
 from beaconry.operators.logs import parse_log
 from beaconry.operators.metrics import validate_metrics
@@ -19,13 +19,29 @@ from beaconry.profiles import NETWORK, RETAIL, Profile
 
 
 class Tables:
-    """Plans of all tables of a profile.  Nothing runs until a table is used or refreshed."""
+    """Plans of all tables of a profile.  Nothing runs until a table is used or refreshed.
 
-    def __init__(self, profile: Profile, records: DataFrame, lines: DataFrame, as_of: AsOf | None = None,
-                 time: str = "event_timestamp"):
-        self.profile, self.records, self.lines, self.time = profile, records, lines, time
+    ``records`` and ``lines`` may be functions that read them: a DataFrame over files keeps to the
+    files it found when it was made, a function finds those that have arrived since.
+    """
+
+    def __init__(self, profile: Profile, records: DataFrame | Callable[[], DataFrame],
+                 lines: DataFrame | Callable[[], DataFrame], as_of: AsOf | None = None, time: str = "event_timestamp"):
+        self.profile, self._records, self._lines, self.time = profile, records, lines, time
         self._as_of = as_of
 
+    def anew(self) -> Tables:
+        """The same inputs, with nothing read or replaced yet."""
+        return Tables(self.profile, self._records, self._lines, self._as_of, self.time)
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return self._records() if callable(self._records) else self._records
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self._lines() if callable(self._lines) else self._lines
+
     @cached_property
     def as_of(self) -> Column:
         """Given time, else the newest measurement: a scalar subquery, not a driver value.
@@ -45,7 +61,8 @@ class Tables:
 
     @cached_property
     def silver_events(self) -> DataFrame:
-        return dedup_events(self.parsed, self.profile)
+        events = dedup_events(self.parsed, self.profile)
+        return events if self.profile is NETWORK else with_store_region(events, self.dimension)
 
     @cached_property
     def performance(self) -> DataFrame:
@@ -90,7 +107,7 @@ NETWORK_GRAPH = {
 }
 RETAIL_GRAPH = {
     "store_metrics": ("metrics", ()),
-    "store_silver_events": ("silver_events", ()),
+    "store_silver_events": ("silver_events", ("dim_stores",)),
     "store_performance_5min": ("performance", ("store_metrics",)),
     "store_events": ("events", ("store_silver_events",)),
     "dim_stores": ("dimension", ("store_metrics",)),
@@ -122,8 +139,10 @@ def refresh(tables: Tables, save: Callable[[str, DataFrame], DataFrame], process
     """Materialise the graph once, each table read back by the tables above it.
 
     ``save(name, df)`` writes and returns the stored table, so a rollup is computed once and
-    not again in every plan that uses it, and a lost executor costs one stage.
+    not again in every plan that uses it, and a lost executor costs one stage.  ``tables`` itself
+    keeps reading raw input, so a later refresh takes in what has arrived since.
     """
+    tables = tables.anew()
     graph = GRAPHS[tables.profile.name]
     wanted = set(only) if only is not None else set(graph)
     stored = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    # Percentile sketches stay in a hash table up to this many groups per task; beyond, Spark sorts.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.streaming.stateStore.providerClass":
@@ -41,7 +44,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="beaconry-")
     spark.conf.set("spark.checkpoint.dir", root)

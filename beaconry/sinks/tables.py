@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -31,18 +32,29 @@ def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), mode
 
 
 def table_writer(spark: SparkSession, root: str) -> Callable[[str, DataFrame], DataFrame]:
-    """``save(name, df)`` for a refresh: files under ``root/name``, rows of one entity and time close
-    together so that later filters skip row groups."""
+    """``save(name, df)`` for a refresh: rows of one entity and time close together so that later
+    filters skip row groups.  Each writer has a version folder of its own under ``root/name``, so
+    readers of the version before are not disturbed; :func:`latest_table` finds the newest."""
+    version = time.time_ns()
+
     def save(name: str, df: DataFrame) -> DataFrame:
         order = [c for c in ("device_id", "store_id", "window_start", "event_timestamp", "hour_start")
                  if c in df.columns]
         out = df.hint("rebalance")
-        (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite").parquet(f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}")
+        path = f"{root}/{name}/version={version}"
+        (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
 
     return save
 
 
+def latest_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The newest version that :func:`table_writer` wrote."""
+    versions = spark.read.parquet(f"{root}/{name}")
+    newest = versions.agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{root}/{name}/version={newest}")
+
+
 def append_merging_schema(df: DataFrame, path: str) -> None:
     """Append files whose columns may be more or fewer than before; read with mergeSchema."""
     df.write.mode("append").parquet(path)

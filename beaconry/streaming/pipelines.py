@@ -46,22 +46,25 @@ def refresh_windows(silver: DataFrame, profile: Profile, path: str, checkpoint:
     return upsert_batches(rollup_5min(silver, profile, watermark=watermark), path, checkpoint, once=once)
 
 
-def drain(df: DataFrame, target: str, checkpoint: str, timeout: int = 600,
+def drain(df: DataFrame, target: str, checkpoint: str, timeout: int | None = None,
           state_partitions: int | None = None) -> None:
-    """Process everything available, then stop."""
+    """Process everything available, then stop; with ``timeout`` seconds, stop and raise after them."""
     query = write_stream(df, target, checkpoint, once=True, state_partitions=state_partitions)
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError("stream did not drain in time")
 
 
 def ingest_json(spark: SparkSession, source: str, target: str, home: str, first_schema: StructType | None = None,
-                glob: str = "*.json", max_files: int | None = None) -> StructType:
+                glob: str = "*.json", max_files: int | None = None, max_new_keys: int = 1000) -> StructType:
     """Drain new NDJSON files into ``target``; returns the schema after the run.
 
     The schema is remembered under ``home``.  Keys it lacks are rescued as text during the
     run, so nothing is lost, and join the schema for the next run on the same checkpoint.
-    :func:`read_ingested` shows all rows under the newest schema.
+    :func:`read_ingested` shows all rows under the newest schema.  More than ``max_new_keys`` new
+    keys in one run are taken for ids used as keys: an error says so, and all stay rescued.
     """
     schema = load_schema(spark, f"{home}/schema") or first_schema
     if schema is None:
@@ -70,7 +73,7 @@ def ingest_json(spark: SparkSession, source: str, target: str, home: str, first_
     typed = with_rescued_data(lines, schema)
     append_batches(typed, target, f"{home}/checkpoint", once=True).awaitTermination()
     rescued = spark.read.option("mergeSchema", True).parquet(target).filter(F.col(RESCUED).isNotNull())
-    schema = evolve_schema(schema, _schema_of_rescued(rescued, schema))
+    schema = evolve_schema(schema, _schema_of_rescued(rescued, schema, max_new_keys))
     save_schema(spark, schema, f"{home}/schema")
     return schema
 
@@ -88,7 +91,7 @@ def read_ingested(spark: SparkSession, target: str, schema: StructType) -> DataF
     return rows.select(*columns, *extra)
 
 
-def _schema_of_rescued(rescued: DataFrame, schema: StructType) -> StructType:
+def _schema_of_rescued(rescued: DataFrame, schema: StructType, max_new_keys: int) -> StructType:
     """Types of the rescued keys: the narrowest of long, double, boolean, string that fits all rows."""
     known = [f.name for f in schema.fields]
     pairs = rescued.select(F.explode(F.from_json(RESCUED, "map<string,string>")).alias("key", "text"))
@@ -100,6 +103,8 @@ def _schema_of_rescued(rescued: DataFrame, schema: StructType) -> StructType:
     kinds = pairs.groupBy("key").agg(
         F.when(fits("bigint"), "bigint").when(fits("double"), "double").when(fits("boolean"), "boolean")
         .otherwise("string").alias("kind"))
-    # One row per column name: as small as a schema.
-    ddl = ", ".join(f"`{r.key}` {r.kind}" for r in kinds.orderBy("key").collect())
+    new = kinds.orderBy("key").limit(max_new_keys + 1).collect()
+    if len(new) > max_new_keys:
+        raise ValueError(f"more than {max_new_keys} new keys in one run; their values stay in {RESCUED}")
+    ddl = ", ".join(f"`{r.key}` {r.kind}" for r in new)
     return StructType.fromDDL(ddl) if ddl else StructType([])

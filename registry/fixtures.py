@@ -20,7 +20,11 @@ def _location(key: str) -> str:
 
 def _device(key: str) -> str:
     return (f"concat({_pick(_DEVICE_TYPES, f'{key}%4')},'-',{_location(key)},'-',"
-            f"lpad(CAST({key}%20 AS STRING),3,'0'))")
+            f"lpad(CAST({key} AS STRING),9,'0'))")
+
+
+# Events carry user numbers beyond the last store: each goes to a store that exists.
+_STORE_EVENTS = "(SELECT *, user_id%(SELECT count(*) FROM supplier) AS store_key FROM events) e JOIN fx_stores s ON e.store_key=s.store_no"
 
 
 def _time(seconds: str) -> str:
@@ -78,11 +82,11 @@ FIXTURES = {
             END AS store_type,
           {_pick("array('west-coast','east-coast','midwest','southeast','northeast','southwest')",
                  "s_nationkey%6")} AS region,
-          {_pick("array('BrandA','BrandB','BrandC','BrandD')", "floor(s_suppkey/5)%4")} AS brand,
+          CASE WHEN s_suppkey%23<>4 THEN {_pick("array('BrandA','BrandB','BrandC','BrandD')", "floor(s_suppkey/5)%4")} END AS brand,
           concat('district-',CAST(s_suppkey%20+1 AS STRING)) AS district,
           concat(CAST(100+s_suppkey AS STRING),' Main St') AS address,
-          CAST(32 AS DOUBLE)+(s_suppkey*37%1000)/CAST(2000 AS DOUBLE) AS latitude,
-          CAST(-118 AS DOUBLE)+(s_suppkey*91%1000)/CAST(2000 AS DOUBLE) AS longitude
+          CASE WHEN s_suppkey%29<>7 THEN CAST(32 AS DOUBLE)+(s_suppkey*37%1000)/CAST(2000 AS DOUBLE) END AS latitude,
+          CASE WHEN s_suppkey%29<>7 THEN CAST(-118 AS DOUBLE)+(s_suppkey*91%1000)/CAST(2000 AS DOUBLE) END AS longitude
         FROM supplier""",
     "fx_store_metrics": f"""
         SELECT e.event_id, {_time("e.event_id*2")} AS event_timestamp, s.store_id, s.store_category,
@@ -106,7 +110,7 @@ FIXTURES = {
           CASE WHEN s.store_category='fast_food' THEN CAST(1+e.event_id%10 AS INT) END AS item_count,
           CASE WHEN s.store_category='fast_food' THEN e.event_id%8 IN (0,3,4,5) END AS normalized,
           concat('file_',CAST(e.event_id%5 AS STRING),'.json') AS source_file
-        FROM events e JOIN fx_stores s ON e.user_id=s.store_no""",
+        FROM {_STORE_EVENTS}""",
     "fx_store_log": f"""
         SELECT e.event_id, {_time("e.event_id*2+1")} AS arrival,
           CASE WHEN e.event_id%97=0 THEN concat('garbage line ',CAST(e.event_id AS STRING)) ELSE
@@ -116,7 +120,7 @@ FIXTURES = {
               ELSE {_pick(_SHOP_EVENTS, "e.event_id%6")} END,
             ' [store@32473 storeCategory="',s.store_category,'" seq="',CAST(e.event_id AS STRING),'"] ',
             'Store message') END AS value
-        FROM events e JOIN fx_stores s ON e.user_id=s.store_no""",
+        FROM {_STORE_EVENTS}""",
     "fx_cdrs": f"""
         SELECT o_orderkey AS cdr_id, {_time("o_orderkey")} AS call_start_time,
           {_device("o_custkey")} AS originating_device_id, {_location("o_custkey")} AS originating_location,

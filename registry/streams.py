@@ -121,8 +121,8 @@ add("csv_ingest", _csv_ingest, _SEEN_SQL, "value")
 
 def _lines(lake: Lake) -> DataFrame:
     """JSON lines of which some carry an extra key, some a word for the value, some are cut short."""
-    records = _records(lake).filter("value IS NOT NULL AND metric_name IS NOT NULL")
-    body = F.to_json(F.struct("event_id", "device_id", "value"))
+    records = _records(lake)
+    body = F.to_json(F.struct("event_id", "device_id", "value"), {"ignoreNullFields": "false"})
     bad = F.to_json(F.struct("event_id", "device_id", F.lit("n/a").alias("value")))
     extra = F.to_json(F.struct("event_id", "device_id", "value", F.col("model").alias("firmware_version"),
                                (F.col("event_id") % 1000).alias("uptime_hours")))
@@ -132,7 +132,7 @@ def _lines(lake: Lake) -> DataFrame:
     return records.select(line.alias("value"))
 
 
-_LINE_SQL = "FROM fx_metrics WHERE value IS NOT NULL AND metric_name IS NOT NULL"
+_LINE_SQL = "FROM fx_metrics"
 
 
 def _rescued(lake: Lake) -> DataFrame:

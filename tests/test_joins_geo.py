@@ -115,13 +115,23 @@ def test_geo_within(spark, km):
 def test_neighbour_counts(spark, km, cells):
     data, df = _points(spark, 6, CENTRES, 150, 0.2)
     got = {r.id: (r.same_group_count, r.other_group_count)
-           for r in neighbour_counts(df, km, "brand", cells).collect()}
+           for r in neighbour_counts(df, km, "brand", cells, "id").collect()}
     for a in data:
         near = [b for b in data if b[0] != a[0] and _km(a[2:], b[2:]) <= km]
         same = sum(b[1] == a[1] for b in near)
         assert got[a[0]] == (same, len(near) - same)
 
 
+def test_neighbour_counts_of_odd_rows(spark):
+    """Two of one brand, one without brand, one without place, and a second row of the first."""
+    rows = [("a", "B1", 34.0, -118.0, "west"), ("b", "B1", 34.0009, -118.0, "west"), ("c", None, 34.0, -118.0, "west"),
+            ("d", "B2", None, None, "west"), ("a", "B1", 34.0, -118.0, "east"), ("e", "B2", 34.0, -118.0009, "west")]
+    df = spark.createDataFrame(rows, "store_id string, brand string, latitude double, longitude double, region string")
+    got = sorted((r.store_id, r.region, r.same_group_count, r.other_group_count) for r in neighbour_counts(df, 5.0, "brand").collect())
+    assert got == [("a", "east", 1, 1), ("a", "west", 1, 1), ("b", "west", 1, 1), ("c", "west", 0, 0), ("d", "west", 0, 0),
+                   ("e", "west", 0, 2)]
+
+
 def test_nearest_other(spark):
     data, df = _points(spark, 7, [*CENTRES, (-33.9, 151.2)], 90, 0.5)
     got = {r.id: r.nearest_km for r in nearest_other(df, "brand").collect()}
