@@ -11,8 +11,9 @@ from beaconry.operators.metrics import validate_metrics
 from beaconry.profiles import NETWORK
 from beaconry.session import scratch_path
 from beaconry.sinks.streams import read_latest, upsert_batches
-from beaconry.sinks.tables import compact
-from beaconry.sources.readers import read_csv_stream, read_json_stream
+from beaconry.plans.tables import Tables, refresh
+from beaconry.sinks.tables import compact, latest_table, register_view, set_table_props, table_writer, write_table
+from beaconry.sources.readers import external_table, read_csv_stream, read_json, read_json_stream, stream_table, table
 from beaconry.sources.schema import infer_schema, with_rescued_data
 from beaconry.streaming.pipelines import (
     drain, ingest_json, read_ingested, stream_interval_join, stream_rollup,
@@ -182,3 +183,84 @@ def _compacted(lake: Lake) -> DataFrame:
 add("partitioned_compaction", _compacted,
     "SELECT metric_name, count(*) AS rows, min(event_timestamp) AS first_time, max(value) AS max_value"
     " FROM net_metrics GROUP BY 1", "max_value")
+
+
+# --- tables: write, register, read back ---------------------------------------
+def _name(lake: Lake, label: str) -> tuple[str, str]:
+    """A table name and folder of their own."""
+    path = scratch_path(lake.spark, label)
+    return path.rsplit("/", 1)[1].replace("-", "_"), path
+
+
+_PER_METRIC = ("SELECT metric_name, count(*) AS rows, count(DISTINCT device_id) AS devices, max(value) AS max_value"
+               " FROM net_metrics GROUP BY 1")
+
+
+def _per_metric(df: DataFrame) -> DataFrame:
+    return df.groupBy("metric_name").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("device_id").alias("devices"),
+                                         F.max("value").alias("max_value"))
+
+
+def _table_written(lake: Lake) -> DataFrame:
+    """Partitioned overwrite, properties and comment, a view over the table, read by name."""
+    name, path = _name(lake, "written")
+    write_table(lake.net.metrics.limit(0), name, ["metric_name"], sort_by=["device_id"], path=path)
+    write_table(lake.net.metrics, name, ["metric_name"], sort_by=["device_id"], path=path)
+    set_table_props(lake.spark, name, {"quality": "silver"}, "measurements that passed the rules")
+    register_view(table(lake.spark, name), f"{name}_view")
+    return _per_metric(table(lake.spark, f"{name}_view"))
+
+
+def _table_streamed(lake: Lake) -> DataFrame:
+    """A stream over a table; a second run on the same checkpoint adds what was appended, once."""
+    name, path = _name(lake, "appended")
+    silver = lake.net.metrics.select("event_timestamp", "device_id", "metric_name", "value")
+    early = F.pmod(F.xxhash64("event_timestamp", "device_id"), F.lit(2)) == 0
+    write_table(silver.filter(early), name, path=path)
+    home = scratch_path(lake.spark, "streamed")
+    drain(stream_table(lake.spark, name), f"{home}/data", f"{home}/checkpoint")
+    write_table(silver.filter(~early), name, mode="append", path=path)
+    for _ in range(2):
+        drain(stream_table(lake.spark, name), f"{home}/data", f"{home}/checkpoint")
+    return _per_metric(lake.spark.read.parquet(f"{home}/data"))
+
+
+def _shared_table(lake: Lake) -> DataFrame:
+    """Columnar files that another platform keeps, by their path."""
+    home = scratch_path(lake.spark, "shared")
+    lake.net.metrics.write.partitionBy("metric_name").parquet(home)
+    return _per_metric(external_table(lake.spark, home, merge_schema=True))
+
+
+def _file_lineage(lake: Lake) -> DataFrame:
+    """Each row knows the file it came from."""
+    home = scratch_path(lake.spark, "lineage")
+    rows = lake.fx("fx_metrics").select("event_id", "device_id", F.col("source_file").alias("origin"))
+    rows.withColumn("part", F.col("origin")).write.partitionBy("part").json(home)
+    read = read_json(lake.spark, home, rows.schema)
+    part = F.regexp_extract("source_file", "part=([^/]+)/", 1)
+    return read.select("event_id", "device_id", part.alias("read_from"), (part == F.col("origin")).alias("right_file"))
+
+
+add("table_written", _table_written, _PER_METRIC, "max_value")
+add("table_streamed", _table_streamed, _PER_METRIC, "max_value")
+add("shared_table", _shared_table, _PER_METRIC, "max_value")
+add("file_lineage", _file_lineage,
+    "SELECT event_id, device_id, source_file AS read_from, TRUE AS right_file FROM fx_metrics")
+
+
+def _refreshed_twice(lake: Lake) -> DataFrame:
+    """Gold after a second refresh, which finds the rows that arrived since the first."""
+    home, spark = scratch_path(lake.spark, "refreshed"), lake.spark
+    records, early = lake.fx("fx_metrics"), F.col("event_id") % 2 == 0
+    records.filter(early).write.parquet(f"{home}/raw")
+    tables = Tables(NETWORK, lambda: spark.read.parquet(f"{home}/raw"), lake.fx("fx_syslog"))
+    wanted = ["network_metrics", "network_performance_5min", "metrics_by_location"]
+    refresh(tables, table_writer(spark, f"{home}/gold"), only=wanted)
+    records.filter(~early).write.mode("append").parquet(f"{home}/raw")
+    refresh(tables, table_writer(spark, f"{home}/gold"), only=wanted)
+    return latest_table(spark, f"{home}/gold", "metrics_by_location").drop("processed_timestamp")
+
+
+add("refresh_after_arrival", _refreshed_twice, "SELECT * FROM net_place",
+    "location_avg_value location_max_value location_min_value location_p95_value")
