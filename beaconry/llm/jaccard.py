@@ -24,13 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.llm.components import components
-from beaconry.llm.text import WordHashes, mixed, shingle_hashes, words
+from beaconry.llm.text import WordHashes, mixed, shingle_hashes, small_batches, words
 from beaconry.session import persist_table
 
 WORDS, PERCENT = 5, 80
 SHORT = 12  # sets in a list whose pairs are all compared
 BITS = 1 << 26
 LEVELS = 4
+BATCH = 500  # texts or pairs of sets in memory at once
 
 
 class Rule:
@@ -258,6 +259,11 @@ def _next_level(star: DataFrame, counted: DataFrame, roots: DataFrame, rule: Rul
 def link_sets(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
     """(sets, classes, links, roots): documents' sets, classes of equal sets (c, d, rep), links between
     classes (a, b) and components (node, root)."""
+    with small_batches(docs.sparkSession, BATCH):
+        return _link_sets(docs, rule)
+
+
+def _link_sets(docs: DataFrame, rule: Rule):
     bits = docs.sparkSession.sparkContext.broadcast(common_bits(docs, rule))
     sets = set_table(docs, bits, rule)
     classes = persist_table(sets.where("n > 0").groupBy("d").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -19,6 +20,18 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Jobs run inside hand at most ``rows`` rows at a time to Python, where rows may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def crc(column: Column) -> Column:
     """CRC-32 of an id written as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
@@ -27,7 +40,7 @@ def crc(column: Column) -> Column:
 class WordHashes(dict):
     """64-bit hash of a word, remembered for up to ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
