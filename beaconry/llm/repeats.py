@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from beaconry.llm.jaccard import BITS, bit_table
-from beaconry.llm.text import WordHashes, shingle_hashes, words
+from beaconry.llm.text import WordHashes, shingle_hashes, small_batches, words
 from beaconry.session import persist_table
 
 LEAST = 50  # words of a passage
@@ -158,8 +158,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     ASCII white space, A-Z lower-cased. Null, empty and short texts give nothing; rows without an id
     are one document, -1; repeated rows with one id are one document. Further columns are ignored.
     """
-    bits = docs.sparkSession.sparkContext.broadcast(shared_keys(docs))
-    rows = anchors(docs, bits)
+    with small_batches(docs.sparkSession, 1000):
+        bits = docs.sparkSession.sparkContext.broadcast(shared_keys(docs))
+        rows = anchors(docs, bits)
     found = []
     for order in (["key", "after", "before", "doc_id", "at"], ["key", "before", "after", "doc_id", "at"]):
         inner = persist_table(match_neighbours(rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*rows.columns)), "neighbours")

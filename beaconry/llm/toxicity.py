@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.text import WordHashes, crc, mixed, words
+from beaconry.llm.text import WordHashes, crc, mixed, small_batches, words
 from beaconry.session import persist_table
 
 SAMPLE = 10_000  # most labelled documents the models are fitted on
@@ -147,6 +147,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     The fitted tables are bounded by ``sample``: only n-grams of more than DISCOUNT documents of a
     class carry mass of their own, so only these leave Spark.
     """
+    with small_batches(docs.sparkSession, 500):
+        return _fit(docs, labels, sample)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, sample: int):
     chosen = persist_table(labelled(docs, labels, sample), "toxicity-sample")
     n, toxic = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < toxic < n:
