@@ -46,7 +46,7 @@ class WordTokenizer:
     the library whole.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 200_000):
         import json
 
         import regex

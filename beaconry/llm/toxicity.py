@@ -202,7 +202,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, ke
             if model is None:
                 scores = np.full(batch.num_rows, w)
             else:
-                x = np.array([features(model, features_of_words(t, hashes), (0, 1)) for t in batch.column(1).to_pylist()]).reshape(-1, 5)
+                x = np.array([features(model, features_of_words(t.as_py(), hashes), (0, 1)) for t in batch.column(1)]).reshape(-1, 5)
                 scores = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
 
@@ -220,12 +220,14 @@ def clean_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         model, w = shared.value
         hashes = WordHashes()
         for batch in batches:
-            if model is not None:
-                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-                x = np.array([features(model, features_of_words(t, hashes), (0, 1)) for t in texts]).reshape(-1, 5)
-                batch = batch.filter(pa.array(x @ w[:-1] + w[-1] < 0))
-            elif w >= 0.5:
-                batch = batch.slice(0, 0)
-            yield batch
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                if model is not None:
+                    texts = part.column(batch.schema.get_field_index("text")).to_pylist()
+                    x = np.array([features(model, features_of_words(t, hashes), (0, 1)) for t in texts]).reshape(-1, 5)
+                    part = part.filter(pa.array(x @ w[:-1] + w[-1] < 0))
+                elif w >= 0.5:
+                    part = part.slice(0, 0)
+                yield part
 
     return docs.mapInArrow(run, docs.schema)
