@@ -108,6 +108,11 @@ def digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
+def class_number(d: bytes) -> int:
+    """Number of a class of equal sets: 64 bits of its digest, so texts and pairs agree on it without a join."""
+    return int.from_bytes(d[:8], "little", signed=True)
+
+
 def set_table(docs: DataFrame, bits, rule: Rule) -> DataFrame:
     """Per document its set's size, digest and prefix."""
     k, least = rule.words, rule.least
@@ -115,20 +120,22 @@ def set_table(docs: DataFrame, bits, rule: Rule) -> DataFrame:
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            n, digests, prefixes = [], [], []
+            n, digests, numbers, prefixes = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text, k, hashes)
                 n.append(len(s))
                 digests.append(digest(s))
+                numbers.append(class_number(digests[-1]))
                 common = is_common(bits.value, s)
                 ordered = np.concatenate([s[~common], s[common]])
                 prefixes.append(ordered[:len(s) - least(len(s)) + 1 if len(s) else 0].view(np.int64))
             lengths = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(digests, pa.binary()),
-                                              pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))], ["doc_id", "n", "d", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(digests, pa.binary()), pa.array(numbers, pa.int64()),
+                                              pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))],
+                                             ["doc_id", "n", "d", "c", "prefix"])
 
-    return persist_table(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, d binary, prefix array<long>"), "sets")
+    return persist_table(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, d binary, c long, prefix array<long>"), "sets")
 
 
 def _id_key(digests: list[bytes], ids: np.ndarray) -> np.ndarray:
@@ -139,7 +146,8 @@ def _id_key(digests: list[bytes], ids: np.ndarray) -> np.ndarray:
 def segments(docs: DataFrame, bits, needed: DataFrame, rule: Rule) -> DataFrame:
     """(c, f, tokens): sets of the needed classes (c, d, rep), cut into fragments of the global order.
 
-    A bit table of the needed representatives spares most texts the work; the join decides.
+    A bit table of the needed representatives spares most texts the work. It lets some others pass:
+    classes that no pair names, and copies of a representative, whose segments then stand twice.
     """
     k = rule.words
 
@@ -166,16 +174,13 @@ def segments(docs: DataFrame, bits, needed: DataFrame, rule: Rule) -> DataFrame:
             for i in np.flatnonzero(hit):
                 s = sets[i]
                 fragment = 2 * is_common(bits.value, s) + (s >> np.uint64(63)).astype(np.int64)
-                rows += [(digests[i], int(f), s[fragment == f].tobytes()) for f in np.unique(fragment)]
+                rows += [(class_number(digests[i]), int(f), s[fragment == f].tobytes()) for f in np.unique(fragment)]
             if rows:
-                d, f, tokens = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(d, pa.binary()), pa.array(f, pa.int32()), pa.array(tokens, pa.binary())],
-                                                 ["d", "f", "tokens"])
+                c, f, tokens = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(f, pa.int32()), pa.array(tokens, pa.binary())],
+                                                 ["c", "f", "tokens"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "d binary, f int, tokens binary")
-    # A copy of a representative may pass the bit table as well, so each segment is kept once.
-    found = found.join(needed.select("d", "c"), "d").select("c", "f", "tokens").dropDuplicates(["c", "f"])
-    return persist_table(found, "segments")
+    return persist_table(docs.select("doc_id", "text").mapInArrow(run, "c long, f int, tokens binary"), "segments")
 
 
 def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -240,7 +245,7 @@ def _next_level(star: DataFrame, counted: DataFrame, roots: DataFrame, rule: Rul
         .withColumn("s", F.least("na", F.greatest("s", "least"))).withColumn("short", rule.need("nb", "s") - F.col("o"))
         .withColumn("t", F.when(F.col("linked"), 1).otherwise(F.greatest(F.col("short"), F.lit(1)))), "members")
     # Fragments follow the global order, so a prefix of the residual set is cut fragment by fragment.
-    rest = counted.where("size(rest) > 0").select("a", "b", "f", "rest")
+    rest = counted.where("size(rest) > 0").groupBy("a", "b", "f").agg(F.first("rest").alias("rest"))
     sizes = rest.groupBy("a", "b").agg(F.collect_list(F.struct("f", F.size("rest").alias("k"))).alias("ks"))  # a few fragments
     keep = members.join(sizes, ["a", "b"]).withColumn("total", F.expr("aggregate(ks, 0, (x, y) -> x + y.k)"))
     keep = keep.withColumn("keep", F.expr("total - t + 1")).where("keep > 0")
@@ -266,9 +271,8 @@ def link_sets(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFr
 def _link_sets(docs: DataFrame, rule: Rule):
     bits = docs.sparkSession.sparkContext.broadcast(common_bits(docs, rule))
     sets = set_table(docs, bits, rule)
-    classes = persist_table(sets.where("n > 0").groupBy("d").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
-                            .withColumn("c", F.monotonically_increasing_id()), "set-classes")
-    own = sets.where("n > 0").drop("n").join(classes.withColumnRenamed("d", "d2"), F.expr("d = d2 AND doc_id <=> rep"))
+    classes = persist_table(sets.where("n > 0").groupBy("d", "c").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "set-classes")
+    own = sets.where("n > 0").select("d", "doc_id", "prefix").join(classes.withColumnRenamed("d", "d2"), F.expr("d = d2 AND doc_id <=> rep"))
     entries = own.select(F.explode("prefix").alias("key"), "c", "n").withColumn("comp", F.col("c"))
     lists = _lists(entries)
     needed = lists.select("c").distinct().join(classes, "c")
@@ -283,7 +287,8 @@ def _link_sets(docs: DataFrame, rule: Rule):
             pairs = pairs.unionByName(band)
         pairs = persist_table(pairs.groupBy("a", "na", "b", "nb").agg(F.max("star").alias("star")), "pairs")
         counted = overlaps(pairs, parts)
-        summed = persist_table(pairs.join(counted.groupBy("a", "b").agg(F.sum("o").alias("o")), ["a", "b"]), "summed")
+        once = counted.groupBy("a", "b", "f").agg(F.max("o").alias("o"))  # a segment may stand twice
+        summed = persist_table(pairs.join(once.groupBy("a", "b").agg(F.sum("o").alias("o")), ["a", "b"]), "summed")
         new = summed.where(F.col("o") >= rule.need("na", "nb")).select("a", "b")
         links = persist_table(new if links is None else links.unionByName(new).distinct(), "links")
         roots = persist_table(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
