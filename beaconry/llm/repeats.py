@@ -2,10 +2,12 @@
 
 Of all suffixes (from a word to the end of its text) only those at minimisers are kept: the smallest
 5-word hash of each 12 neighbouring ones, so equal passages keep equal suffixes. A passage of 50 words
-holds a kept suffix with 39 more of its words behind it and at most 11 before. Suffixes whose first
-39 words occur once are left out; the others are sorted across the cluster by these words and what
-follows, and again by these words and what precedes. In each order a suffix is compared with the
-nearest one of another document on either side, and the match is extended to the left and right.
+holds a kept suffix with 39 of its words from there on and at most 11 before. Suffixes whose first
+39 words occur once are left out; the others are sorted across the cluster by these words, their block.
+Around a block stand at most 12 windows of 50 words, by how many of these precede it. A window
+that two documents have is a passage, whatever the order of the suffixes, and longer passages are
+the union of their windows. Blocks that one task holds are decided there, the others by their distinct
+surroundings.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from beaconry.llm.jaccard import BITS, bit_table
-from beaconry.llm.text import WordHashes, shingle_hashes, small_batches, words
+from beaconry.llm.text import WordHashes, mixed, shingle_hashes, small_batches, words
 from beaconry.session import persist_table
 
 LEAST = 50  # words of a passage
@@ -25,7 +27,9 @@ GRAM, NEAR = 5, 12  # words that choose a minimiser; neighbouring starts it is c
 BLOCK = LEAST - NEAR + 1  # words that a kept suffix must share
 SIDE = NEAR - 1  # words a passage may have beyond the blocks of its kept suffixes
 ANCHOR = "key long, doc_id long, at long, before binary, after binary"
-FOUND = "doc_id long, begin long, end long, other long, edge boolean, " + "key long, at long, before binary, after binary"
+FOUND = "doc_id long, begin long, end long, other long, at long, key long, pattern long, open boolean, before binary, after binary, a long, b long"
+HELD = 50_000  # rows of a block that a task decides by itself
+NONE = np.iinfo(np.int64).max
 
 
 def minimisers(h: np.ndarray) -> np.ndarray:
@@ -86,70 +90,140 @@ def anchors(docs: DataFrame, bits) -> DataFrame:
     return persist_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ANCHOR), "anchors")
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common beginning of rows; 0 marks the end of a text."""
-    return np.cumprod((a == b) & (a != 0), axis=1).sum(1)
-
-
-def match_neighbours(rows: DataFrame) -> DataFrame:
-    """Sorted suffixes -> spans found by neighbours, and the rows at the edges of each task's range."""
-    def compare(key, doc, at, before, after):
-        n = len(key)
-        begin, end, other = at.copy(), at.copy(), np.full(n, -1, np.int64)
-        new_run = np.append([True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))  # runs of one document in one block
-        first = np.flatnonzero(new_run)[np.cumsum(new_run) - 1]
-        last = np.append(np.flatnonzero(new_run)[1:], [n])[np.cumsum(new_run) - 1] - 1
-        for j in (first - 1, last + 1):
-            ok = (j >= 0) & (j < n)
-            j = np.clip(j, 0, n - 1)
-            ok &= key[j] == key
-            left, right = _common(before, before[j]), _common(after, after[j])
-            ok &= left + right + BLOCK >= LEAST
-            other = np.where(ok & ((other < 0) | (doc[j] < other)), doc[j], other)
-            begin = np.where(ok, np.minimum(begin, at - left), begin)
-            end = np.where(ok, np.maximum(end, at + BLOCK + right), end)
-        return begin, end, other, first, last
+def _hashes(key: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each suffix a hash of its block with all the words around, and per number of words before the
+    block the hash of that window of LEAST words, and whether the text has it; 0 marks the end of a text."""
+    def sums(words_):
+        out = [np.zeros(len(words_), np.uint64)]
+        for column in words_.T:
+            out.append(mixed(out[-1] + column + np.uint64(1)))
+        return out
+
+    left, right, block = sums(before), sums(after), mixed(key.view(np.uint64))
+    there = lambda n, words_: words_[:, n - 1] != 0 if n else np.ones(len(words_), bool)
+    window = [mixed(mixed(block + left[n]) + right[SIDE - n] + np.uint64(n)) for n in range(SIDE + 1)]
+    whole = [there(n, before) & there(SIDE - n, after) for n in range(SIDE + 1)]
+    return mixed(mixed(block + left[SIDE]) + right[SIDE]), np.stack(window, 1), np.stack(whole, 1)
+
+
+def _two_smallest(ids: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ids, place of each entry's id among them, and the two smallest documents of each; NONE if one."""
+    order = np.lexsort((docs, ids))
+    i, d = ids[order], docs[order]
+    new = np.append([True], i[1:] != i[:-1])[:len(i)]
+    start = np.flatnonzero(new)
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.cumsum(new) - 1
+    other = np.where(d != d[start][np.cumsum(new) - 1], d, NONE)
+    return i[start], place, d[start], np.minimum.reduceat(other, start) if len(start) else other
+
+
+def match_blocks(rows: DataFrame) -> DataFrame:
+    """Suffixes sorted by block -> the span of each that another document has too.
+
+    A block that lies whole in a task's range is decided there. Of one that may go on in another range,
+    or has more than HELD rows, all rows are ``open``: they name the pattern of words around, and each pattern's
+    words come with the two smallest documents met at once, once per HELD rows or so.
+    """
+    def decide(table, opened):
+        key, doc, at = (table.column(i).to_numpy() for i in range(3))
+        before, after = (np.frombuffer(b"".join(table.column(i).to_pylist()), np.uint32).reshape(-1, SIDE) for i in (3, 4))
+        left = np.isin(key, np.array(opened, np.int64))
+        pattern, window, whole = _hashes(key, before, after)
+        patterns, of_row, low, next_ = _two_smallest(pattern, doc)
+        one = np.empty(len(patterns), np.int64)  # a row of each pattern
+        one[of_row] = np.arange(len(key))
+        # Windows of patterns, met in the documents of each.
+        p, n = np.nonzero(whole[one] & ~left[one][:, None])
+        met, second = window[one][p, n], next_[p] != NONE
+        _, place, least, more = _two_smallest(np.concatenate([met, met[second]]), np.concatenate([low[p], next_[p][second]]))
+        place = place[:len(p)]
+        ok = more[place] != NONE
+        p, n, place = p[ok], n[ok], place[ok]
+        longest, shortest = np.full(len(patterns), -1), np.full(len(patterns), SIDE + 1)
+        np.maximum.at(longest, p, n)
+        np.minimum.at(shortest, p, n)
+        found, _, first, then = _two_smallest(np.concatenate([p, p]), np.concatenate([least[place], more[place]]))
+        o1, o2 = np.full(len(patterns), NONE), np.full(len(patterns), NONE)
+        o1[found], o2[found] = first, then
+        hit = longest[of_row] >= 0
+        begin, end = np.where(hit, at - longest[of_row], at), np.where(hit, at - shortest[of_row] + LEAST, at)
+        other = np.where(doc == o1[of_row], o2[of_row], o1[of_row])
+        keep = np.flatnonzero(hit | left)
+        shown = np.zeros(len(key), bool)
+        shown[one] = left[one]
+        shown = shown[keep]
+        words_ = [pa.array([v if s else None for v, s in zip(table.column(i).take(pa.array(keep)).to_pylist(), shown)], pa.binary()) for i in (3, 4)]
+        two = [pa.array(v[of_row][keep], pa.int64(), mask=~shown | (v[of_row][keep] == NONE)) for v in (low, next_)]
+        columns = [pa.array(v[keep]) for v in (doc, begin, end, other, at, key)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(pattern.view(np.int64)[keep]), pa.array(left[keep]), *words_, *two],
+                                          [f.split()[0] for f in FOUND.split(", ")])
 
     def run(batches):
-        parts, held = [], 0
-        tail = None
-
-        def emit(final):
-            nonlocal parts, held, tail
-            table = pa.Table.from_batches(parts)
-            if tail is not None:
-                table = pa.concat_tables([tail, table])
-            key, doc, at = (table.column(i).to_numpy() for i in range(3))
-            before, after = (np.frombuffer(b"".join(table.column(i).to_pylist()), np.uint32).reshape(-1, SIDE) for i in (3, 4))
-            begin, end, other, first, last = compare(key, doc, at, before, after)
-            n = len(key)
-            edge = np.zeros(n, bool)
-            marks = [0, min(last[0] + 1, n - 1)] if tail is None else []
-            marks += [n - 1, max(first[n - 1] - 1, 0)] if final else []
-            edge[marks] = True
-            keep = (end > begin) | edge
-            out = table.filter(pa.array(keep))
-            cols = [pa.array(c[keep]) for c in (doc, begin, end, other, edge, key, at)]
-            batch = pa.RecordBatch.from_arrays([*cols, *(out.column(i).combine_chunks() for i in (3, 4))],
-                                               [f.split()[0] for f in FOUND.split(", ")])
-            # The last block goes on in the next rows: carry its last documents' rows along.
-            tail = table.slice(max(int(first[n - 1]) - 1, 0)) if not final else None
-            if tail is not None and tail.num_rows > 4096:
-                tail = pa.concat_tables([tail.slice(0, 1), tail.slice(tail.num_rows - 1)])
-            parts, held = [], 0
-            return batch
+        parts, held, hot = [], 0, None
+
+        def flush(final):
+            nonlocal parts, held, hot
+            table = pa.Table.from_batches(parts).combine_chunks()
+            key = table.column(0).to_numpy()
+            if hot is None:
+                hot = int(key[0])
+            opened, last = [hot], int(key[-1])
+            cut = len(key)
+            if final:
+                opened.append(last)
+            elif last != hot:
+                cut = int(np.searchsorted(key, last))
+                if len(key) - cut >= HELD:
+                    cut, hot = len(key), last
+                    opened.append(last)
+            rest = table.slice(cut)
+            parts, held = rest.to_batches(), rest.num_rows
+            return table.slice(0, cut) if cut else None, opened
 
         for batch in batches:
-            if held >= 100_000:
-                yield emit(False)
+            if not batch.num_rows:
+                continue
             parts.append(batch)
             held += batch.num_rows
-        if parts:
-            yield emit(True)
+            if held >= 2 * HELD:
+                table, opened = flush(False)
+                if table is not None:
+                    yield decide(table, opened)
+        if held:
+            yield decide(*flush(True))
 
     return rows.mapInArrow(run, FOUND)
 
 
+def _two_smallest_rows(rows: DataFrame, key: str) -> DataFrame:
+    """(key, a, b) repeated -> one row per key with the two smallest documents of all; b null if one."""
+    docs = rows.select(key, F.explode(F.array("a", "b")).alias("doc")).where("doc IS NOT NULL").distinct()
+    first = docs.groupBy(key).agg(F.min("doc").alias("a"))
+    return docs.join(first, key).groupBy(key).agg(F.min("a").alias("a"), F.min(F.when(F.col("doc") > F.col("a"), F.col("doc"))).alias("b"))
+
+
+def open_patterns(found: DataFrame) -> DataFrame:
+    """(pattern, longest, shortest, o1, o2): words before the block in the first and last window that two
+    documents have, and the two smallest of these, for the patterns of open blocks from all ranges."""
+    def run(batches):
+        for batch in batches:
+            key, pattern = (batch.column(i).to_numpy() for i in (0, 1))
+            before, after = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, SIDE) for i in (2, 3))
+            _, window, whole = _hashes(key, before, after)
+            p, n = np.nonzero(whole)
+            at = pa.array(p)
+            yield pa.RecordBatch.from_arrays([pa.array(pattern[p]), pa.array(window[p, n].view(np.int64)), pa.array(n), batch.column(4).take(at), batch.column(5).take(at)],
+                                             ["pattern", "window", "n", "a", "b"])
+
+    shown = found.where("before IS NOT NULL").select("key", "pattern", "before", "after", "a", "b")
+    windows = persist_table(shown.mapInArrow(run, "pattern long, window long, n long, a long, b long"), "open-windows")
+    shared = persist_table(_two_smallest_rows(windows.select("window", "a", "b"), "window").where("b IS NOT NULL"), "shared-windows")
+    met = windows.select("pattern", "window", "n").distinct().join(shared, "window")
+    return persist_table(met.groupBy("pattern").agg(F.max("n").alias("longest"), F.min("n").alias("shortest")).join(
+        _two_smallest_rows(met, "pattern"), "pattern").withColumnsRenamed({"a": "o1", "b": "o2"}), "open-patterns")
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """Maximal word spans of LEAST words or more that also stand in another document.
 
@@ -161,14 +235,15 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     with small_batches(docs.sparkSession, 1000):
         bits = docs.sparkSession.sparkContext.broadcast(shared_keys(docs))
         rows = anchors(docs, bits)
-    found = []
-    for order in (["key", "after", "before", "doc_id", "at"], ["key", "before", "after", "doc_id", "at"]):
-        inner = persist_table(match_neighbours(rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*rows.columns)), "neighbours")
-        # Neighbours across the ranges' edges: a few rows of each range.
-        edges = inner.where("edge").select(*rows.columns).coalesce(1).sortWithinPartitions(*order)
-        found += [inner, match_neighbours(edges)]
-    spans = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
-    spans = spans.where(F.col("end") > F.col("begin")).select("doc_id", "begin", "end", "other")
+    order = ["key", "doc_id", "at"]
+    found = persist_table(match_blocks(rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*rows.columns)), "blocks")
+    late = open_patterns(found)
+    # One join for all rows: those that are decided have no open pattern.
+    spans = found.select("doc_id", "begin", "end", "other", "at", "open", "pattern").join(
+        late.withColumn("open", F.lit(True)), ["pattern", "open"], "left")
+    late = lambda a, b: F.when(F.col("longest").isNotNull(), F.expr(a)).otherwise(F.col(b)).alias(b)
+    spans = spans.select("doc_id", late("at - longest", "begin"), late(f"at - shortest + {LEAST}", "end"), late("if(doc_id = o1, o2, o1)", "other"))
+    spans = spans.where(F.col("end") > F.col("begin"))
     spans = spans.groupBy("doc_id", "begin").agg(F.max("end").alias("end"), F.min("other").alias("other"))
     line = Window.partitionBy("doc_id").orderBy("begin", "end")
     reach = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))

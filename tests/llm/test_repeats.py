@@ -58,3 +58,38 @@ def test_only_across_documents(spark):
 def test_odd(spark):
     check(spark, ODD + [(30, prose(1, 70)), (30, prose(1, 70)), (None, prose(1, 70))])
     check(spark, [])
+
+
+@pytest.mark.parametrize("held", [50_000, 40])
+def test_long_runs(spark, monkeypatch, held):
+    """A document repeats a passage more often than a task holds or a range has; others have it once, in other surroundings."""
+    monkeypatch.setattr(repeats, "HELD", held, raising=False)
+    passage = prose(21, 50)
+    many = lambda seed, n: " ".join(prose(seed * 1000 + i, 9) + " " + passage for i in range(n))
+    rows = [(5, many(5, 300)), (1, prose(1, 20) + " " + passage + " " + prose(2, 20)), (7, passage)]
+    ranges = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in ranges}
+    try:
+        for k, v in ranges.items():
+            spark.conf.set(k, v)
+        got = check(spark, rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["other_id"] for r in got if r["doc_id"] != 1} == {1} and {r["other_id"] for r in got if r["doc_id"] == 1} == {5}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_template(spark, seed):
+    """Many documents share a block in varying surroundings: the best partner stands next in neither order."""
+    rng = random.Random(seed)
+    rows = []
+    for t in range(6):
+        block = prose(seed * 50 + t, 41)
+        for i in range(50):
+            left, right = ([f"{side}{t}v{rng.randrange(10) // 8}p{j}" for j in range(11)] for side in "lr")
+            for side, cut in ((left, range(rng.randrange(12))), (right, range(rng.randrange(12), 11))):
+                for j in cut:
+                    side[j] = f"u{t}x{i}x{rng.random()}"
+            rows.append((t * 100 + i, " ".join([prose(t * 999 + i, 20), *left, block, *right, prose(t * 77 + i + 5000, 20)])))
+    check(spark, rows)
