@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from beaconry.llm.components import components
 from beaconry.llm.text import WordHashes, mixed, shingle_hashes, small_batches, words
@@ -321,14 +322,44 @@ def link_documents(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("head").alias("component_id"), F.col("rep").alias("class_id"))
 
 
+def _with_digest(docs: DataFrame, rule: Rule) -> DataFrame:
+    """Stored rows with ``_own``, the digest of their set, null without words."""
+    k = rule.words
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            sets = [shingles(t, k, hashes) for t in batch.column("text").to_pylist()]
+            own = pa.array([digest(s) if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, "_own"])
+
+    with small_batches(docs.sparkSession, BATCH):
+        return persist_table(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_own", T.BinaryType())])), "near-digests")
+
+
 def one_per_group(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
-    """The documents that stay, all columns: the smallest doc_id of each component, and those without words.
+    """The documents that stay, all columns: of each component the one with the smallest doc_id, null last,
+    and those without words.
 
-    Rows repeated with the id that stays are one document; the first is kept.
+    Rows with a repeated id, or without one, are told apart by their n-gram sets: equal sets under one id
+    are one document, different ones are documents of their own. Without words and id, each row stays.
     """
-    verdict = persist_table(link_documents(docs, rule), "near-verdict")
-    kept = verdict.where("doc_id <=> component_id").select(F.col("doc_id").alias("_id"))
-    out = docs.join(kept, F.expr("doc_id <=> _id"), "left_semi")
-    if kept.groupBy("_id").count().where("count > 1 AND _id IS NOT NULL").limit(1).count():
-        out = out.dropDuplicates(["doc_id"])
-    return out
+    rule = rule or Rule()
+    sets, classes, _, roots = link_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rule)
+    rooted = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "d")).alias("first"))
+    kept = persist_table(first.select(F.col("first.rep").alias("_id"), F.col("first.d").alias("_d"))
+                         .unionByName(sets.where("n = 0").select(F.col("doc_id").alias("_id"), F.lit(None).cast("binary").alias("_d"))), "near-kept")
+    odd = persist_table(sets.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").select(F.col("doc_id").alias("_odd")), "near-odd")
+    out = docs.join(kept.where("_id IS NOT NULL").select("_id"), F.expr("CAST(doc_id AS LONG) = _id"), "left_semi")
+    if not odd.limit(1).count():
+        return out
+    repeated = odd.where("_odd IS NOT NULL")
+    same = F.expr("CAST(doc_id AS LONG) = _odd")
+    rows = _with_digest(docs.where("doc_id IS NULL").unionByName(docs.join(repeated, same, "left_semi")), rule)
+    worded = rows.where("_own IS NOT NULL").join(kept, F.expr("_own = _d AND CAST(doc_id AS LONG) <=> _id"), "left_semi")
+    bare = rows.where("_own IS NULL")
+    return (out.join(repeated, same, "left_anti")
+            .unionByName(worded.dropDuplicates(["doc_id", "_own"]).drop("_own"))
+            .unionByName(bare.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).drop("_own"))
+            .unionByName(bare.where("doc_id IS NULL").drop("_own")))

@@ -86,6 +86,19 @@ def test_one_per_group(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == [1, 2, 4, 5]
 
 
+def test_one_per_group_by_row(spark):
+    """Rows without an id, and different texts under one id, are documents of their own."""
+    a, b, c, d = (prose(i, 60) for i in range(4))
+    rows = [(7, a), (7, b), (7, a), (8, edited(a, 1, 1)), (None, c), (None, edited(c, 2, 1)), (None, d), (None, "some words"),
+            (None, b + " tail"), (None, None), (None, ""), (9, ""), (9, None)]
+    out = jaccard.one_per_group(documents(spark, rows).repartition(3)).collect()
+    got = [(r["doc_id"], r["text"]) for r in out]
+    assert {t for i, t in got if i is not None and t} == {a, b}
+    assert len(got) == 2 + 3 + 2 + 1
+    nameless = [t for i, t in got if i is None and t]
+    assert len(nameless) == 3 and {d, "some words"} < set(nameless) and set(nameless) & {c, rows[5][1]}
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 300), (250, 300)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(path, "u long, v long")).collect()}
