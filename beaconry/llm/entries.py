@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from beaconry.llm import brown, chat, exact, fingerprints, jaccard, mixing, packing, repeats, token_counts, toxicity
+from beaconry.llm import (
+    brown, chat, exact, fingerprints, jaccard, manifest, mixing, packing, repeats, token_counts, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +57,10 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(own)))
 
 
+def manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_source_mixing": mixing_query,
     "op2_token_counts": token_counts_query,
@@ -67,7 +72,8 @@ QUERIES = {
     "op8_exact_dedup": exact_query,
     "op9_best_fit_packing": packing_query,
     "op10_chat_formatting": chat_query,
+    "op11_merkle_manifest": manifest_query,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {"op8_exact_dedup": exact.SQL, "op10_chat_formatting": chat.SQL}
+ORACLES = {"op8_exact_dedup": exact.SQL, "op10_chat_formatting": chat.SQL, "op11_merkle_manifest": manifest.SQL}
