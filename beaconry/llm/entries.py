@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from beaconry.llm import (
-    brown, chat, exact, fingerprints, jaccard, manifest, mixing, packing, repeats, token_counts, toxicity)
+    brown, chat, exact, fingerprints, jaccard, language, manifest, mixing, packing, phrases, repeats, token_counts, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,14 @@ def manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(_table(spark, sf_dir, "documents"))
 
 
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+def phrases_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_source_mixing": mixing_query,
     "op2_token_counts": token_counts_query,
@@ -73,7 +81,10 @@ QUERIES = {
     "op9_best_fit_packing": packing_query,
     "op10_chat_formatting": chat_query,
     "op11_merkle_manifest": manifest_query,
+    "op12_language_id": language_query,
+    "op13_phrase_collocations": phrases_query,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {"op8_exact_dedup": exact.SQL, "op10_chat_formatting": chat.SQL, "op11_merkle_manifest": manifest.SQL}
+ORACLES = {"op8_exact_dedup": exact.SQL, "op10_chat_formatting": chat.SQL, "op11_merkle_manifest": manifest.SQL,
+           "op13_phrase_collocations": phrases.SQL}
