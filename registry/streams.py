@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from beaconry.operators.events import dedup_events
 from beaconry.operators.logs import parse_log
 from beaconry.operators.metrics import validate_metrics
-from beaconry.profiles import NETWORK
+from beaconry.plans.incremental import IncrementalTables
+from beaconry.profiles import NETWORK, RETAIL
 from beaconry.session import scratch_path
 from beaconry.sinks.streams import read_latest, upsert_batches
 from beaconry.plans.tables import Tables, refresh
@@ -20,7 +21,7 @@ from beaconry.streaming.pipelines import (
 )
 from registry.core import add
 from registry.lake import Lake
-from registry.pipeline import _LOG, _STATS
+from registry.pipeline import _KPI, _LOG, _NET_STATE, _STATS
 
 
 def _cores(lake: Lake) -> int:
@@ -264,3 +265,25 @@ def _refreshed_twice(lake: Lake) -> DataFrame:
 
 add("refresh_after_arrival", _refreshed_twice, "SELECT * FROM net_place",
     "location_avg_value location_max_value location_min_value location_p95_value")
+
+
+def _in_batches(lake: Lake, profile, records: DataFrame, lines: DataFrame) -> IncrementalTables:
+    """Three batches: most rows, then late and new ones of every hour, then the rest together with repeats."""
+    tables = IncrementalTables(lake.spark, profile, scratch_path(lake.spark, "incremental"))
+    kind = F.pmod(F.col("event_id"), F.lit(7))
+    for chosen in (kind > 1, kind == 1, kind == 0):
+        tables.refresh(records.filter(chosen), lines.filter(chosen | (kind == 3)))
+    return tables
+
+
+def _incremental(lake: Lake, name: str) -> DataFrame:
+    tables = _in_batches(lake, NETWORK, lake.fx("fx_metrics"), lake.fx("fx_syslog"))
+    return tables.table(name).drop("processed_timestamp")
+
+
+add("incremental_refresh", lambda lake: _incremental(lake, "network_kpi_hourly"), "SELECT * FROM net_kpi", _KPI)
+add("incremental_device_health", lambda lake: _incremental(lake, "device_health"), "SELECT * FROM net_health", _NET_STATE)
+add("incremental_store_events",
+    lambda lake: _in_batches(lake, RETAIL, lake.fx("fx_store_metrics"), lake.fx("fx_store_log")).table("store_events").drop(
+        "processed_timestamp"),
+    "SELECT * FROM ret_events", "event_age_minutes")
