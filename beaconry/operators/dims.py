@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconry.functions.rules import first_case, like_label
 from beaconry.functions.time import AsOf, as_of_column
 from beaconry.profiles.network import REGION_PATTERNS, TIER_PATTERNS
 from beaconry.profiles.retail import OTHER_TIER, STORE_TIERS
+from beaconry.sinks.parts import PartStore, day_part
 
 
 def _validity(as_of: AsOf) -> dict[str, Column]:
@@ -96,6 +97,47 @@ def scd2_merge(dim: DataFrame, new: DataFrame, keys: Sequence[str], attributes:
     return both.select(F.inline(rows)).unionByName(history)
 
 
+class History:
+    """A type-2 dimension kept below ``root``: open rows in one part, closed ones by the day they ended.
+
+    A merge reads and replaces the open rows, and adds the rows it closes; closed history is neither
+    read nor written again, however long it grows.
+    """
+
+    TABLE, OPEN = "history", "open"
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], attributes: Sequence[str]):
+        self.store, self.keys, self.attributes = PartStore(spark, root), list(keys), list(attributes)
+
+    def merge(self, new: DataFrame, as_of: AsOf, close_missing: bool = False) -> list[str]:
+        """Take in a snapshot; returns the parts written. The same snapshot and time again change nothing."""
+        change = self.store.current()
+        if self.TABLE in change.schemas:
+            dim = change.read(self.TABLE, [self.OPEN]).drop("part")
+        else:
+            dim = new.select(*dict.fromkeys([*self.keys, *self.attributes]), F.lit(None).cast("timestamp").alias("effective_start_date"),
+                             F.lit(None).cast("timestamp").alias("effective_end_date"), F.lit(True).alias("is_active")).limit(0)
+        merged = scd2_merge(dim, new, self.keys, self.attributes, as_of, close_missing)
+        part = F.when(F.col("is_active"), self.OPEN).otherwise(day_part("effective_end_date"))
+        change.put(self.TABLE, merged.withColumn("part", part), [self.OPEN], self.keys)
+        change.publish()
+        return change.written[self.TABLE]
+
+    def read(self) -> DataFrame:
+        return self.store.read(self.TABLE).drop("part")
+
+    def current(self) -> DataFrame:
+        return self.store.read(self.TABLE, [self.OPEN]).drop("part")
+
+    def at(self, time: AsOf) -> DataFrame:
+        """Rows that were valid at a time: open ones, and closed ones of that day and later only."""
+        moment = as_of_column(time)
+        change = self.store.current()
+        day = change.store.spark.range(1).select(day_part(moment).alias("d")).first()["d"]
+        rows = change.read(self.TABLE, [p for p in change.names(self.TABLE) if p == self.OPEN or p >= day]).drop("part")
+        return rows.filter((F.col("effective_start_date") <= moment) & (F.col("is_active") | (F.col("effective_end_date") > moment)))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changed rows between two snapshots: insert and update carry new values, delete the old."""
     attributes = [c for c in new.columns if c not in keys]

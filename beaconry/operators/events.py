@@ -60,13 +60,29 @@ def recent_event_counts(events: DataFrame, profile: Profile, as_of: AsOf, last:
     )
 
 
-def sliding_event_counts(events: DataFrame, profile: Profile, width: str = "1 hour",
-                         slide: str = "5 minutes", watermark: str = "10 minutes") -> DataFrame:
-    """Streaming form of :func:`recent_event_counts`: one row per entity and sliding window."""
-    keys = [profile.entity] + ([profile.category] if profile.category else [])
-    if events.isStreaming:
-        events = events.withWatermark("event_timestamp", watermark)
-    counted = events.groupBy(F.window("event_timestamp", width, slide).alias("w"), *keys).agg(
+def pane_keys(profile: Profile) -> list[str]:
+    return ["window_start", "window_end", profile.entity, *([profile.category] if profile.category else [])]
+
+
+def event_panes(events: DataFrame, profile: Profile, slide: str = "5 minutes") -> DataFrame:
+    """Events per entity and pane: each event is counted in one."""
+    keys = pane_keys(profile)[2:]
+    counted = events.groupBy(F.window("event_timestamp", slide).alias("w"), *keys).agg(
         F.count(F.lit(1)).alias("event_count"), F.count_if("is_critical").alias("critical_event_count"))
-    return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                          *keys, "event_count", "critical_event_count")
+    return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys,
+                          "event_count", "critical_event_count")
+
+
+def sum_panes(panes: DataFrame, profile: Profile, width: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
+    """Sliding counts: a window is the sum of its panes, so rows are repeated per pane, not per event."""
+    keys = pane_keys(profile)[2:]
+    summed = panes.groupBy(F.window("window_start", width, slide).alias("w"), *keys).agg(
+        F.sum("event_count").alias("event_count"), F.sum("critical_event_count").alias("critical_event_count"))
+    return summed.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys,
+                         "event_count", "critical_event_count")
+
+
+def sliding_event_counts(events: DataFrame, profile: Profile, width: str = "1 hour",
+                         slide: str = "5 minutes") -> DataFrame:
+    """:func:`recent_event_counts` for every step of time: one row per entity and sliding window."""
+    return sum_panes(event_panes(events, profile, slide), profile, width, slide)

@@ -19,9 +19,10 @@ def rollup_5min(metrics: DataFrame, profile: Profile, width: str = "5 minutes",
                 sketch: bool = False) -> DataFrame:
     """Statistics per window, entity and metric.
 
-    On a stream, or with ``approximate_files``, the distinct file count is a HyperLogLog
-    estimate: that removes the second exchange an exact distinct count needs.  ``sketch``
-    adds a mergeable quantile sketch from which coarser rollups take true percentiles.
+    The files of a group are few (those of one entity and window), so they are counted as a set
+    beside the other statistics: a distinct count would first group by file, with sketches and all,
+    and shuffle twice.  On a stream, or with ``approximate_files``, the count is a HyperLogLog
+    estimate, whose state does not grow.  ``sketch`` adds a mergeable quantile sketch from which coarser rollups take true percentiles.
     """
     if watermark:
         metrics = metrics.withWatermark("event_timestamp", watermark)
@@ -43,8 +44,8 @@ def rollup_5min(metrics: DataFrame, profile: Profile, width: str = "5 minutes",
         aggregates.append(F.kll_sketch_agg_double(value).alias("value_sketch"))
     if "source_file" in metrics.columns:
         approximate = approximate_files or metrics.isStreaming
-        files = F.approx_count_distinct if approximate else F.count_distinct
-        aggregates.append(files("source_file").alias("source_file_count"))
+        files = F.approx_count_distinct("source_file") if approximate else F.size(F.collect_set("source_file")).cast("long")
+        aggregates.append(files.alias("source_file_count"))
 
     rolled = metrics.groupBy(F.window("event_timestamp", width).alias("w"), *profile.rollup_keys)
     rolled = rolled.agg(*aggregates)

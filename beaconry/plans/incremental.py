@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.functions.time import AsOf, as_of_column
+from beaconry.functions.time import AsOf, as_of_column, interval_micros, micros
 from beaconry.operators.dims import dim_devices, dim_stores
 from beaconry.operators.events import dedup_events, enrich_events, with_store_region
 from beaconry.operators.health import health
@@ -23,22 +23,25 @@ from beaconry.operators.metrics import validate_metrics
 from beaconry.operators.rollups import drive_through, kpi_hourly, rollup_5min, rollup_by_place
 from beaconry.plans.tables import GRAPHS
 from beaconry.profiles import NETWORK, Profile
-from beaconry.sinks.parts import TIMELESS, Change, PartStore, hour_part
+from beaconry.sinks.parts import TIMELESS, WHOLE, Change, PartStore, hour_part
 from beaconry.sinks.streams import write_batches
 
 RECENT = "1 hour"  # of events that health looks at
-MERGE_ABOVE = 16   # versions of a part before they are rewritten as one
+MERGE_ABOVE = 16   # versions of a part and level before they are rewritten as one
+LATE = "late_records"
 
 
 class IncrementalTables:
     """The table graph of a profile below ``root``, moved on batch by batch.
 
     ``as_of`` fixes "now"; otherwise it is the newest measurement. Tables have the names of the graph.
+    With a ``watermark``, as of a stream, a measurement is late if its five minutes ended that long before
+    the newest one of earlier batches: it changes nothing and goes to the table ``late_records``.
     """
 
     def __init__(self, spark: SparkSession, profile: Profile, root: str, as_of: AsOf | None = None,
-                 time: str = "event_timestamp", merge_above: int = MERGE_ABOVE):
-        self.spark, self.profile, self.time, self.merge_above = spark, profile, time, merge_above
+                 time: str = "event_timestamp", merge_above: int = MERGE_ABOVE, watermark: str | None = None):
+        self.spark, self.profile, self.time, self.merge_above, self.watermark = spark, profile, time, merge_above, watermark
         self.store, self._as_of = PartStore(spark, root), as_of
         self._order = [profile.entity, "event_timestamp"]  # of rows in a file
         # What the graph computes -> its table.
@@ -88,11 +91,19 @@ class IncrementalTables:
     def _take_records(self, change: Change, records: DataFrame, stamp: Column) -> list[str]:
         silver = validate_metrics(records, self.profile, self.time).drop("processed_timestamp")
         table = self.name["metrics"]
+        if self.watermark and "clock" in change.schemas:
+            passed = change.read("clock").select(F.col("event_timestamp") - F.expr(f"INTERVAL {self.watermark}")).scalar()
+            # Stored first: the batch is read for either side.
+            silver = change.stage("new_records", silver.withColumns({"watermark": passed, "part": F.lit(WHOLE)})).drop("part")
+            at, width = micros(F.col("event_timestamp")), interval_micros("5 minutes")
+            late = F.coalesce(at - F.pmod(at, F.lit(width)) + width <= micros(F.col("watermark")), F.lit(False))
+            change.append(LATE, silver.filter(late).select("*", hour_part("event_timestamp").alias("part"), stamp))
+            silver = silver.filter(~late).drop("watermark")
         fresh = change.append(table, silver.select("*", hour_part("event_timestamp").alias("part"), stamp), self._order)
         touched = change.written.get(table, [])
         if not touched:
             return []
-        change.merge_versions(table, self.merge_above, self._order)
+        change.merge_versions(table, self.merge_above, sort_by=self._order)
         self._merge(change, "clock", fresh.agg(F.max("event_timestamp").alias("event_timestamp")),
                     lambda rows: rows.agg(F.max("event_timestamp").alias("event_timestamp")))
         dimension = ["device_id", "device_type", "location", "vendor", "model", "ip_address"] if self.profile is NETWORK else [
@@ -121,7 +132,7 @@ class IncrementalTables:
             hours = sorted(r.part for r in fresh.select("part").distinct().collect())
             fresh = fresh.subtract(change.read(table, hours).drop("processed_timestamp").select(*fresh.columns))
         change.append(table, fresh.select("*", stamp), self._order)
-        change.merge_versions(table, self.merge_above, self._order)
+        change.merge_versions(table, self.merge_above, sort_by=self._order)
         return change.written.get(table, [])
 
     def _roll_up(self, change: Change, touched: list[str], stamp: Column) -> None:
@@ -161,9 +172,11 @@ class IncrementalTables:
 
     # --- reading ------------------------------------------------------------------
     def table(self, name: str, hours: list[str] | None = None) -> DataFrame:
-        """A table of the graph as it stands, or some hours of it."""
-        attribute = GRAPHS[self.profile.name][name][0]
+        """A table of the graph, or ``late_records``, as it stands, or some hours of it."""
         change = self.store.current()
+        if name == LATE:
+            return change.read(LATE, hours).drop("part")
+        attribute = GRAPHS[self.profile.name][name][0]
         if attribute not in ("silver_events", "events"):
             return change.read(name, hours).drop("part")
         events = change.read(self.name["silver_events"], hours).drop("part")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterable
 from functools import cached_property
 
@@ -29,9 +30,15 @@ class Tables:
                  lines: DataFrame | Callable[[], DataFrame], as_of: AsOf | None = None, time: str = "event_timestamp"):
         self.profile, self._records, self._lines, self.time = profile, records, lines, time
         self._as_of = as_of
+        self._refreshed = False
 
     def anew(self) -> Tables:
         """The same inputs, with nothing read or replaced yet."""
+        fixed = [n for n, given in (("records", self._records), ("lines", self._lines)) if not callable(given)]
+        if self._refreshed and fixed:
+            warnings.warn(f"{' and '.join(fixed)} keep to the files they were made from: give a function that reads them"
+                          " to take in files that have arrived since", stacklevel=3)
+        self._refreshed = True
         return Tables(self.profile, self._records, self._lines, self._as_of, self.time)
 
     @cached_property

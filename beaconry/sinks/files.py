@@ -32,3 +32,21 @@ def move(spark: SparkSession, old: str, new: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     files, location = _at(spark, path)
     files.delete(location, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    files, location = _at(spark, path)
+    out = files.create(location, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, location = _at(spark, path)
+    content = files.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(content, "UTF-8")
+    finally:
+        content.close()

@@ -10,29 +10,33 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from beaconry.sinks.files import move, names_in, remove
+from beaconry.sinks.files import move, names_in, read_text, remove, write_text
+from beaconry.sources.schema import evolve_schema
 
 WHOLE = "all"      # the part of a table that is always written whole
 TIMELESS = "none"  # rows without a time
-_MANIFEST = "kind string, table string, part string, value string"
 
 
-def hour_part(time: str | Column) -> Column:
+def hour_part(time: str | Column, form: str = "yyyy-MM-dd-HH") -> Column:
     """Name of the part a time belongs to; names sort by time."""
     column = F.col(time) if isinstance(time, str) else time
-    return F.coalesce(F.date_format(column, "yyyy-MM-dd-HH"), F.lit(TIMELESS))
+    return F.coalesce(F.date_format(column, form), F.lit(TIMELESS))
+
+
+def day_part(time: str | Column) -> Column:
+    return hour_part(time, "yyyy-MM-dd")
 
 
 class PartStore:
     """The published state of the tables below ``root``.
 
-    The manifest has one row per table and part: it grows with the hours that the tables span,
+    The manifest names each part of each table once: it grows with the hours that the tables span,
     not with their rows, and is the only thing the driver reads.
     """
 
@@ -47,15 +51,13 @@ class PartStore:
         published = self._published()
         change = Change(self, published[-1] + 1 if published else 1)
         if published:
-            for r in self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/{published[-1]}").collect():
-                if r.kind == "part":
-                    change.parts.setdefault(r.table, {}).setdefault(r.part, []).append(r.value)
-                elif r.kind == "schema":
-                    change.schemas[r.table] = r.value
-                else:
-                    change.marks[r.table] = r.value
+            change.parts, change.schemas, change.marks = self._manifest(published[-1])
         return change
 
+    def _manifest(self, number: int) -> tuple[dict, dict, dict]:
+        known = json.loads(read_text(self.spark, f"{self.root}/manifest/{number}"))
+        return known["parts"], known["schemas"], known["marks"]
+
     def read(self, table: str, parts: Iterable[str] | None = None) -> DataFrame:
         return self.current().read(table, parts)
 
@@ -68,8 +70,10 @@ class PartStore:
         published, spark = self._published(), self.spark
         used: dict[str, dict[str, set[str]]] = {}
         for number in published[-keep:]:
-            for r in spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/{number}").where("kind = 'part'").collect():
-                used.setdefault(r.table, {}).setdefault(f"version={r.value}", set()).add(f"part={r.part}")
+            for table, parts in self._manifest(number)[0].items():
+                for part, versions in parts.items():
+                    for version in versions:
+                        used.setdefault(table, {}).setdefault(f"version={version}", set()).add(f"part={part}")
         gone = [f"manifest/{number}" for number in published[:-keep]]
         for table in names_in(spark, self.root):
             for version in names_in(spark, f"{self.root}/{table}") if table != "manifest" else ():
@@ -113,13 +117,15 @@ class Change:
         paths = [f"{home}/version={v}/part={p}" for v, p in versions]
         return spark.read.schema(schema).option("basePath", home).parquet(*paths).drop("version")
 
-    def _write(self, table: str, df: DataFrame, sort_by: Sequence[str]) -> tuple[str, list[str]]:
+    def _write(self, table: str, df: DataFrame, sort_by: Sequence[str], level: int = 0) -> tuple[str, list[str]]:
         """Write the rows by their column ``part``; the version and the parts that have rows."""
-        version = f"v{self.number}-{uuid.uuid4().hex}"
+        version = f"v{self.number}-{uuid.uuid4().hex}-{level}"
         path = f"{self.store.root}/{table}/version={version}"
         df = df.hint("rebalance", "part").sortWithinPartitions("part", *[c for c in sort_by if c in df.columns])
         df.write.partitionBy("part").parquet(path)
-        self.schemas.setdefault(table, StructType([f for f in df.schema.fields if f.name != "part"]).json())
+        own = StructType([f for f in df.schema.fields if f.name != "part"])
+        known = StructType.fromJson(json.loads(self.schemas[table])) if table in self.schemas else StructType([])
+        self.schemas[table] = evolve_schema(known, own).json()
         return version, [n.removeprefix("part=") for n in names_in(self.store.spark, path) if n.startswith("part=")]
 
     def stage(self, table: str, df: DataFrame) -> DataFrame:
@@ -127,40 +133,62 @@ class Change:
         version, parts = self._write(table, df, ())
         return self._read(table, [(version, p) for p in parts])
 
-    def append(self, table: str, df: DataFrame, sort_by: Sequence[str] = ()) -> DataFrame:
-        """Add rows to the parts they belong to; returns these rows. A part gets one more version."""
-        version, parts = self._write(table, df, sort_by)
-        for part in parts:
-            self.parts.setdefault(table, {}).setdefault(part, []).append(version)
-        self._note(table, parts)
-        return self._read(table, [(version, p) for p in parts])
+    def put(self, table: str, df: DataFrame, replaced: Iterable[str], sort_by: Sequence[str] = ()) -> DataFrame:
+        """Write rows by their column ``part``, in place of what the parts ``replaced`` held, beside what others hold.
 
-    def replace(self, table: str, df: DataFrame, parts: Iterable[str] | None = None, sort_by: Sequence[str] = ()) -> None:
-        """Put rows in place of what the given parts held, or of the whole table, which then is one part."""
-        if parts is None:
-            parts, df = [WHOLE], df.withColumn("part", F.lit(WHOLE))
+        Returns the written rows.
+        """
         version, found = self._write(table, df, sort_by)
         held = self.parts.setdefault(table, {})
-        for part in parts:
+        for part in replaced:
             held.pop(part, None)
         for part in found:
-            held[part] = [version]
+            held.setdefault(part, []).append(version)
         self._note(table, found)
+        return self._read(table, [(version, p) for p in found])
+
+    def append(self, table: str, df: DataFrame, sort_by: Sequence[str] = ()) -> DataFrame:
+        """Add rows to the parts they belong to; returns these rows. A part gets one more version."""
+        return self.put(table, df, (), sort_by)
+
+    def replace(self, table: str, df: DataFrame, parts: Iterable[str] | None = None, sort_by: Sequence[str] = ()) -> DataFrame:
+        """Put rows in place of what the given parts held, or of the whole table, which then is one part."""
+        if parts is None:
+            parts, df = [WHOLE], df.withColumn("part", F.lit(WHOLE))
+        return self.put(table, df, parts, sort_by)
 
     def _note(self, table: str, parts: Sequence[str]) -> None:
         self.written[table] = sorted({*self.written.get(table, ()), *parts})
 
-    def merge_versions(self, table: str, above: int, sort_by: Sequence[str] = ()) -> None:
-        """Rewrite parts of more than ``above`` versions as one."""
-        many = [p for p, versions in self.parts.get(table, {}).items() if len(versions) > above]
-        if many:
-            self.replace(table, self.read(table, many), many, sort_by)
+    def merge_versions(self, table: str, fan: int, combine: Callable[[DataFrame], DataFrame] | None = None,
+                       sort_by: Sequence[str] = (), closed: Iterable[str] = ()) -> None:
+        """Where a part has ``fan`` versions of one level, rewrite them as one of the next level.
+
+        A row is so rewritten once per level, and a part has at most ``fan`` versions a level, however
+        many were written. Of ``closed`` parts all versions become one. ``combine`` may reduce the rows
+        that are merged; it must keep their column ``part``.
+        """
+        held, closed = self.parts.get(table, {}), set(closed)
+        level = 0
+        while True:
+            chosen = {}
+            for part, versions in held.items():
+                own = versions if part in closed else [v for v in versions if int(v.rsplit("-", 1)[1]) == level]
+                if len(own) >= (2 if part in closed else fan):
+                    chosen[part] = own
+            if not chosen and level >= max((int(v.rsplit("-", 1)[1]) for vs in held.values() for v in vs), default=0):
+                return
+            if chosen:
+                rows = self._read(table, [(v, p) for p, versions in chosen.items() for v in versions])
+                version, found = self._write(table, combine(rows) if combine else rows, sort_by, level + 1)
+                for part, own in chosen.items():
+                    held[part] = [v for v in held[part] if v not in own] + [version] * (part in found)
+                self._note(table, found)
+            level += 1
 
     def publish(self) -> None:
         """Make this change the current state. Fails if another one was published meanwhile."""
-        rows = [("part", t, p, v) for t, parts in self.parts.items() for p, versions in parts.items() for v in versions]
-        rows += [("schema", t, None, s) for t, s in self.schemas.items()] + [("mark", n, None, v) for n, v in self.marks.items()]
-        home = f"{self.store.root}/manifest"
+        home, spark = f"{self.store.root}/manifest", self.store.spark
         attempt = f"{home}/.attempt-{uuid.uuid4().hex}"
-        self.store.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.parquet(attempt)
-        move(self.store.spark, attempt, f"{home}/{self.number}")
+        write_text(spark, attempt, json.dumps({"parts": self.parts, "schemas": self.schemas, "marks": self.marks}))
+        move(spark, attempt, f"{home}/{self.number}")

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconry.sinks.files import exists, names_in
+
 
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
                 sort_by: Sequence[str] = (), fmt: str = "parquet", path: str | None = None) -> DataFrame:
@@ -49,10 +51,11 @@ def table_writer(spark: SparkSession, root: str) -> Callable[[str, DataFrame], D
 
 
 def latest_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The newest version that :func:`table_writer` wrote."""
-    versions = spark.read.parquet(f"{root}/{name}")
-    newest = versions.agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{root}/{name}/version={newest}")
+    """The newest version that :func:`table_writer` wrote to its end; a run that died left no mark of success."""
+    for version in reversed(names_in(spark, f"{root}/{name}")):
+        if version.startswith("version=") and exists(spark, f"{root}/{name}/{version}/_SUCCESS"):
+            return spark.read.parquet(f"{root}/{name}/{version}")
+    raise FileNotFoundError(f"no version of {name} below {root}")
 
 
 def append_merging_schema(df: DataFrame, path: str) -> None:

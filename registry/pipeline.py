@@ -118,12 +118,12 @@ add("recent_events_1h", lambda lake: recent_event_counts(lake.net.events, NETWOR
     "SELECT * FROM net_recent")
 add("store_recent_events_1h", lambda lake: recent_event_counts(lake.ret.events, RETAIL, lake.ret.as_of),
     "SELECT * FROM ret_recent")
-add("sliding_event_counts", lambda lake: sliding_event_counts(lake.net.silver_events, NETWORK),
-    """SELECT s AS window_start, s+INTERVAL 1 HOUR AS window_end, device_id, count(*) AS event_count,
+_SLIDING = """SELECT s AS window_start, s+INTERVAL 1 HOUR AS window_end, device_id, count(*) AS event_count,
          count(*) FILTER (is_critical) AS critical_event_count
        FROM (SELECT *, unnest(generate_series(time_bucket(INTERVAL '5 minutes', event_timestamp)
                -INTERVAL 55 MINUTE, time_bucket(INTERVAL '5 minutes', event_timestamp),
-               INTERVAL 5 MINUTE)) AS s FROM net_events) GROUP BY 1,2,3""")
+               INTERVAL 5 MINUTE)) AS s FROM net_events) GROUP BY 1,2,3"""
+add("sliding_event_counts", lambda lake: sliding_event_counts(lake.net.silver_events, NETWORK), _SLIDING)
 
 add("dim_devices", lambda lake: lake.net.dimension, "SELECT * FROM net_dim")
 add("dim_stores", lambda lake: lake.ret.dimension, "SELECT * FROM ret_dim", "latitude longitude")
@@ -153,15 +153,15 @@ add("snapshot_apply",
 add("scd1_upsert", lambda lake: scd1_upsert(lake.sql(_OLD), lake.sql(_NEW), ["k"]),
     f"SELECT coalesce(n.k,o.k) AS k, CASE WHEN n.k IS NULL THEN o.segment ELSE n.segment END AS segment,"
     f" CASE WHEN n.k IS NULL THEN o.nation ELSE n.nation END AS nation {_SIDES}")
-add("scd2_merge",
-    lambda lake: scd2_merge(_dimension(lake), lake.sql(_NEW), ["k"], ["segment", "nation"], "2026-02-01"),
-    f"""SELECT o.k AS k, o.segment AS segment, o.nation AS nation,
+_SCD2 = f"""SELECT o.k AS k, o.segment AS segment, o.nation AS nation,
           TIMESTAMP '2026-01-01' AS effective_start_date,
           CASE WHEN n.k IS NOT NULL AND {_CHANGED} THEN TIMESTAMP '2026-02-01' END AS effective_end_date,
           NOT (n.k IS NOT NULL AND {_CHANGED}) AS is_active {_SIDES} WHERE o.k IS NOT NULL
         UNION ALL
         SELECT n.k, n.segment, n.nation, TIMESTAMP '2026-02-01', CAST(NULL AS TIMESTAMP), TRUE {_SIDES}
-        WHERE n.k IS NOT NULL AND (o.k IS NULL OR {_CHANGED})""")
+        WHERE n.k IS NOT NULL AND (o.k IS NULL OR {_CHANGED})"""
+add("scd2_merge",
+    lambda lake: scd2_merge(_dimension(lake), lake.sql(_NEW), ["k"], ["segment", "nation"], "2026-02-01"), _SCD2)
 
 _NET_STATE = ("current_latency_ms current_packet_loss_pct current_throughput_mbps current_jitter_ms"
               " current_error_rate")

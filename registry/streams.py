@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from beaconry.operators.dims import History
 from beaconry.operators.events import dedup_events
 from beaconry.operators.logs import parse_log
 from beaconry.operators.metrics import validate_metrics
@@ -17,11 +18,11 @@ from beaconry.sinks.tables import compact, latest_table, register_view, set_tabl
 from beaconry.sources.readers import external_table, read_csv_stream, read_json, read_json_stream, stream_table, table
 from beaconry.sources.schema import infer_schema, with_rescued_data
 from beaconry.streaming.pipelines import (
-    drain, ingest_json, read_ingested, stream_interval_join, stream_rollup,
+    drain, ingest_json, read_ingested, refresh_panes, stream_interval_join, stream_rollup, trailing_counts,
 )
 from registry.core import add
 from registry.lake import Lake
-from registry.pipeline import _KPI, _LOG, _NET_STATE, _STATS
+from registry.pipeline import _KPI, _LOG, _NET_STATE, _NEW, _OLD, _SCD2, _SLIDING, _STATS
 
 
 def _cores(lake: Lake) -> int:
@@ -54,15 +55,26 @@ add("stream_dedup", _stream_dedup,
 
 def _stream_rollup(lake: Lake) -> DataFrame:
     rolled = stream_rollup(lake.stream("fx_metrics", "events"), NETWORK, "event_timestamp")
-    home = scratch_path(lake.spark, "rollup")
-    upsert_batches(rolled, f"{home}/data", f"{home}/checkpoint", once=True,
+    home, keys = scratch_path(lake.spark, "rollup"), ["window_start", "window_end", *NETWORK.rollup_keys]
+    upsert_batches(rolled, f"{home}/data", f"{home}/checkpoint", keys, once=True,
                    state_partitions=_cores(lake)).awaitTermination()
-    return read_latest(lake.spark, f"{home}/data", ["window_start", "window_end", *NETWORK.rollup_keys])
+    return read_latest(lake.spark, f"{home}/data", keys)
 
 
 add("stream_rollup_5min", _stream_rollup, "SELECT * FROM net_perf", _STATS)
 
 
+def _stream_panes(lake: Lake) -> DataFrame:
+    """Trailing hours from five-minute panes that a stream keeps."""
+    events = dedup_events(parse_log(lake.stream("fx_syslog_once", "events"), NETWORK), NETWORK, "1 hour")
+    home = scratch_path(lake.spark, "panes")
+    refresh_panes(events, NETWORK, f"{home}/data", f"{home}/checkpoint", state_partitions=_cores(lake)).awaitTermination()
+    return trailing_counts(lake.spark, NETWORK, f"{home}/data")
+
+
+add("stream_trailing_counts", _stream_panes, _SLIDING)
+
+
 def _stream_join(lake: Lake) -> DataFrame:
     sessions = lake.stream("fx_sip", "orders").withColumn(
         "session_start_time", F.col("session_start_time").cast("timestamp"))
@@ -287,3 +299,42 @@ add("incremental_store_events",
     lambda lake: _in_batches(lake, RETAIL, lake.fx("fx_store_metrics"), lake.fx("fx_store_log")).table("store_events").drop(
         "processed_timestamp"),
     "SELECT * FROM ret_events", "event_age_minutes")
+
+
+def _late(lake: Lake) -> DataFrame:
+    """A stream of three batches; what comes behind the watermark stands beside the rollup, not in it."""
+    home, spark = scratch_path(lake.spark, "late"), lake.spark
+    records, number = lake.fx("fx_metrics"), F.col("event_id")
+    half = records.agg(F.floor(F.max("event_id") / 2)).scalar()
+    tables = IncrementalTables(spark, NETWORK, f"{home}/gold", watermark="10 minutes")
+    for chosen in ((number <= half) & (number % 10 != 7), (number > half) & (number % 10 != 7), number % 10 == 7):
+        records.filter(chosen).write.mode("append").parquet(f"{home}/raw")
+        stream = spark.readStream.schema(records.schema).parquet(f"{home}/raw")
+        tables.follow(stream, "records", f"{home}/checkpoint").awaitTermination()
+    rolled = tables.table("network_performance_5min").groupBy("window_start").agg(F.sum("sample_count").alias("rows"))
+    late = tables.table("late_records").groupBy(F.window("event_timestamp", "5 minutes")["start"].alias("window_start")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    return rolled.withColumn("kind", F.lit("rollup")).unionByName(late.withColumn("kind", F.lit("late")))
+
+
+_LATE_SQL = """
+    WITH rows AS (
+      SELECT time_bucket(INTERVAL '5 minutes', event_timestamp) AS window_start, event_timestamp AS at, event_id%10=7 AS last,
+        event_id>(SELECT max(event_id)//2 FROM fx_metrics) AS second FROM net_metrics),
+    marks AS (SELECT max(at) FILTER (NOT last AND NOT second) AS m1, max(at) FILTER (NOT last) AS m2 FROM rows)
+    SELECT CASE WHEN last AND window_start+INTERVAL 5 MINUTE<=m2-INTERVAL 10 MINUTE
+        OR NOT last AND second AND window_start+INTERVAL 5 MINUTE<=m1-INTERVAL 10 MINUTE THEN 'late' ELSE 'rollup' END AS kind,
+      window_start, count(*) AS rows FROM rows, marks GROUP BY 1,2"""
+add("stream_late_records", _late, _LATE_SQL)
+
+
+def _history(lake: Lake) -> DataFrame:
+    """Three snapshots of a dimension, merged into stored history; the third repeats the second."""
+    old, new = (lake.sql(text) for text in (_OLD, _NEW))
+    kept = History(lake.spark, scratch_path(lake.spark, "history"), ["k"], ["segment", "nation"])
+    for snapshot, day in ((old, "2026-01-01"), (new, "2026-02-01"), (new, "2026-03-01")):
+        kept.merge(snapshot, day)
+    return kept.read()
+
+
+add("scd2_history", _history, _SCD2)

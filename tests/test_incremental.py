@@ -5,11 +5,17 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from beaconry.operators.dims import History, scd2_merge
+from beaconry.operators.events import dedup_events, pane_keys, sliding_event_counts
+from beaconry.operators.logs import parse_log
 from beaconry.plans.incremental import IncrementalTables
-from beaconry.plans.tables import GRAPHS, Tables
+from beaconry.plans.tables import GRAPHS, Tables, refresh
 from beaconry.profiles import NETWORK, RETAIL
+from beaconry.sinks import streams
 from beaconry.sinks.parts import PartStore
+from beaconry.sinks.tables import latest_table, table_writer
 from beaconry.sources import readers
+from beaconry.streaming.pipelines import ingest_json, refresh_panes, trailing_counts
 
 START = datetime(2026, 1, 7, 10)
 RECORD = ("event_timestamp timestamp, {entity} string, device_type string, location string, vendor string, model string,"
@@ -61,9 +67,9 @@ def test_refresh_append_refresh_equals_a_full_run(spark, tmp_path, profile):
         tables.refresh(*frames(spark, profile, rows, lines))
         done[0].extend(rows)
         done[1].extend(lines)
-        full = Tables(profile, *frames(spark, profile, *done))
-        for name, (attribute, _) in GRAPHS[profile.name].items():
-            assert content(tables.table(name)) == content(getattr(full, attribute)), name
+    full = Tables(profile, *frames(spark, profile, *done))
+    for name, (attribute, _) in GRAPHS[profile.name].items():
+        assert content(tables.table(name)) == content(getattr(full, attribute)), name
 
 
 def files(root, table):
@@ -142,3 +148,118 @@ def test_following_a_stream(spark, tmp_path):
         tables.follow(stream, "lines", str(tmp_path / "ckpt"), measured=False).awaitTermination()
     full = Tables(NETWORK, *frames(spark, NETWORK, [], done))
     assert content(tables.table("network_silver_events")) == content(full.silver_events)
+
+
+def test_late_records(spark, tmp_path):
+    tables = IncrementalTables(spark, NETWORK, str(tmp_path / "gold"), watermark="10 minutes")
+    batches = [[record(NETWORK, m, 1, 1) for m in (0, 30)], [record(NETWORK, m, 1, 2) for m in (14, 20, 60)] + [record(NETWORK, None, 1, 7)],
+               [record(NETWORK, m, 1, 3) for m in (44, 50, 61)]]
+    for rows in batches:
+        tables.refresh(spark.createDataFrame(rows, RECORD.format(entity="device_id")))
+    late = tables.table("late_records")
+    assert sorted((r["event_timestamp"], r["value"]) for r in late.collect()) == [(START + timedelta(minutes=14), 2.0), (START + timedelta(minutes=44), 3.0)]
+    assert {r["watermark"] for r in late.collect()} == {START + timedelta(minutes=m) for m in (20, 50)}
+    on_time = [r for batch in batches for r in batch if r[-2] != 2.0 or r[0] != START + timedelta(minutes=14)]
+    on_time = [r for r in on_time if r[-2] != 3.0 or r[0] != START + timedelta(minutes=44)]
+    full = Tables(NETWORK, *frames(spark, NETWORK, on_time, []))
+    assert content(tables.table("network_performance_5min")) == content(full.performance)
+    assert tables.table("network_metrics").filter("event_timestamp IS NULL").count() == 1
+
+
+def test_a_hundred_batches_are_few_folders(spark, tmp_path):
+    path, expected, most = str(tmp_path / "t"), {}, 0
+    for i in range(100):
+        day = START + timedelta(days=i // 50)
+        rows = [(day + timedelta(minutes=m), f"k{m}", i) for m in {i % 7, i % 50}]
+        expected.update({(at, k): v for at, k, v in rows})
+        df = spark.createDataFrame(rows, "window_start timestamp, k string, v int").coalesce(1)
+        streams.upsert(spark, path, df, ["window_start", "k"], source="s", batch=i, fan=4)
+        runs = PartStore(spark, path).current().parts[streams.ROWS]
+        most = max(most, max(map(len, runs.values())))
+        if i == 60:
+            assert len(runs["2026-01-07"]) == 1  # a date that has passed is one run
+            streams.upsert(spark, path, df, ["window_start", "k"], source="s", batch=i, fan=4)  # handed over again
+    assert most <= 3 * 3 + 1  # three runs on each of the levels that fifty batches need, and the one being added
+    got = {(r["window_start"], r["k"]): r["v"] for r in streams.read_latest(spark, path, ["window_start", "k"]).collect()}
+    assert got == expected
+    late = spark.createDataFrame([(START + timedelta(minutes=3), "k3", -1), (START, "new", -2)], "window_start timestamp, k string, v int")
+    streams.upsert(spark, path, late, ["window_start", "k"])
+    got = {(r["window_start"], r["k"]): r["v"] for r in streams.read_latest(spark, path, ["window_start", "k"]).collect()}
+    assert got == expected | {(START + timedelta(minutes=3), "k3"): -1, (START, "new"): -2}
+    assert len(os.listdir(tmp_path / "t" / streams.ROWS)) < 40  # replaced runs do not stay for ever
+
+
+def test_history_is_not_read_again(spark, tmp_path):
+    kept = History(spark, str(tmp_path / "h"), ["k"], ["v"])
+    snapshots = [[(1, "a"), (2, "b"), (3, None)], [(1, "x"), (2, "b"), (4, "d")], [(1, "y"), (2, "b"), (3, "c")], [(1, "y")]]
+    whole = None
+    for day, rows in enumerate(snapshots, 1):
+        new, at = spark.createDataFrame(rows, "k int, v string"), datetime(2026, 1, day)
+        empty = spark.createDataFrame([], "k int, v string, effective_start_date timestamp, effective_end_date timestamp, is_active boolean")
+        whole = scd2_merge(empty if whole is None else whole, new, ["k"], ["v"], at, True)
+        whole = spark.createDataFrame(whole.collect(), whole.schema)
+        closed = {f for f in files(tmp_path / "h", "history") if "part=open" not in f}
+        stamps = {f: os.stat(f).st_mtime_ns for f in closed}
+        if day == 4:
+            for f in closed:
+                os.chmod(f, 0o400)
+                os.rename(f, f + ".away")  # a merge must not miss them
+        written = kept.merge(new, at, True)
+        if day == 4:
+            for f in closed:
+                os.rename(f + ".away", f)
+        assert {f: os.stat(f).st_mtime_ns for f in closed} == stamps
+        assert day == 1 or written == [f"2026-01-0{day}", "open"]
+        assert content(kept.read()) == content(whole)
+    assert content(kept.current()) == content(whole.filter("is_active"))
+    at = kept.at("2026-01-02").collect()
+    assert sorted((r["k"], r["v"]) for r in at) == [(1, "x"), (2, "b"), (4, "d")]
+
+
+def test_trailing_counts_of_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    done = []
+    for i, minutes in enumerate([(0, 3, 3, 58), (59, 61, 130), (131, 64)]):
+        done += [line(NETWORK, m, m % 3, f"{i}-{m}-{j}") for j, m in enumerate(minutes)]
+        (tmp_path / "in" / f"{i}.txt").write_text("\n".join(done[-len(minutes):]) + "\n")
+    events = dedup_events(parse_log(readers.read_text_stream(spark, str(tmp_path / "in"), max_files=1), NETWORK), NETWORK, "3 hours")
+    out = str(tmp_path / "out")
+    refresh_panes(events, NETWORK, out, str(tmp_path / "c"), watermark=None).awaitTermination()
+    batch = dedup_events(parse_log(spark.createDataFrame([(x,) for x in done], "value string"), NETWORK), NETWORK)
+    got = content(trailing_counts(spark, NETWORK, out))
+    assert got == content(sliding_event_counts(batch, NETWORK)) and len(got) > 12 * 5
+    # Each event stands in one pane.
+    panes = PartStore(spark, out).read(streams.ROWS)
+    assert streams.read_latest(spark, out, pane_keys(NETWORK)).agg({"event_count": "sum"}).first()[0] == len(done) and panes.count() <= len(done)
+
+
+def test_schema_growth_reads_its_own_batches_only(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    first = spark.createDataFrame([], "id int").schema
+
+    def run(name, *lines):
+        (tmp_path / "in" / name).write_text("\n".join(lines) + "\n")
+        return ingest_json(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "home"), first).simpleString()
+
+    # Which type a key gets depends on the values of all runs until it joins the schema.
+    assert run("a.json", '{"id": 1, "up": 7, "x": "1.5"}') == "struct<id:int,up:bigint,x:double>"
+    for f in files(tmp_path, "out"):
+        os.rename(f, f + ".away")
+    assert run("b.json", '{"id": 2, "fw": true, "up": 8}', '{"id": 3, "fw": "no way"}') == "struct<id:int,up:bigint,x:double,fw:string>"
+
+
+def test_the_newest_whole_version(spark, tmp_path):
+    save = table_writer(spark, str(tmp_path))
+    save("t", spark.range(3))
+    dead = tmp_path / "t" / "version=9999999999999999999"
+    dead.mkdir()
+    (dead / "part-0.parquet").write_text("cut")
+    assert latest_table(spark, str(tmp_path), "t").count() == 3
+
+
+def test_a_second_refresh_of_fixed_input_warns(spark):
+    records, lines = frames(spark, NETWORK, *history(NETWORK)[0])
+    tables = Tables(NETWORK, records, lambda: lines)
+    refresh(tables, lambda name, df: df, only=["network_metrics"])
+    with pytest.warns(UserWarning, match="records keep to the files"):
+        refresh(tables, lambda name, df: df, only=["network_metrics"])
