@@ -19,16 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from beaconry.llm.text import crc, small_batches
+from beaconry.llm.text import crc, mixed, small_batches
 from beaconry.session import persist_table
 
 FOLDS, HELD_OUT = 4, 2
 SAMPLE = 4_000  # most documents the model is fitted on, spread evenly over the languages
 ERRORS = 0.01  # share of wrong answers among those not rejected
-BUCKETS, DIM, LENGTHS = 1 << 16, 16, (2, 3, 4)  # n-grams, besides single letters
+BITS, DIM, LENGTHS = 16, 16, (2, 3, 4)  # rows of the table, their width, n-grams besides single letters
+BUCKETS, BASE = 1 << BITS, np.uint64(0x100000001B3)
 WINDOWS = (1, 2, 4, 8, 32)  # words of the short examples of a document
 EPOCHS, BATCH, RATE = 4, 32, 0.5
-CACHED = 64  # longer words are worked out each time
+GROUP = 500  # texts judged together
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -37,11 +38,68 @@ def words_of(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
 
-def subwords(word: str) -> list[int]:
-    """Rows of a word's n-grams and of the word itself."""
-    marked = f"<{word}>"
-    grams = [*word, *(marked[i:i + n] for n in LENGTHS for i in range(len(marked) - n + 1)), marked + "="]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
+def grams(words: list[str]):
+    """Hashed n-grams of words that each stand between marks: (first place of each word, per kind (row, which places count)).
+
+    Letters, n-grams and whole words are polynomials of code points, worked out for all places at once.
+    """
+    code = np.frombuffer(("<" + "><".join(words) + ">").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    length = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    start = np.cumsum(length) - length
+    left = np.repeat(start + length, length) - np.arange(len(code))  # places from here to the word's end
+    inside = (left > 1) & (left < np.repeat(length, length))
+    kinds, value = [(_row(code, 1), inside)], code
+    for n in range(2, max(LENGTHS) + 1):
+        value = value * BASE
+        value[:1 - n] += code[n - 1:]
+        if n in LENGTHS:
+            kinds.append((_row(value, n), left >= n))
+    power = np.cumprod(np.append(np.ones(1, np.uint64), np.full(length.max() - 1, BASE)))
+    whole = np.zeros(len(code), np.int64)
+    whole[start] = _row(np.add.reduceat(code * power[np.repeat(length, length) - left], start), 0)
+    first = np.zeros(len(code), bool)
+    first[start] = True
+    return start, [*kinds, (whole, first)]
+
+
+def _row(value: np.ndarray, kind: int) -> np.ndarray:
+    return (mixed(value + np.uint64(kind << 56)) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def rows_of(words: list[str]) -> np.ndarray:
+    """Rows of all n-grams of some words."""
+    return np.concatenate([row[counts] for part in _slices(words) for row, counts in grams(part)[1]])
+
+
+def _slices(words: list[str], letters: int = 100_000):
+    """Runs of words of about so many letters."""
+    lo, size = 0, 0
+    for i, w in enumerate(words):
+        if size and size + len(w) > letters:
+            yield words[lo:i]
+            lo, size = i, 0
+        size += len(w) + 2
+    yield words[lo:]
+
+
+def word_sums(table: np.ndarray, words: list[str]) -> np.ndarray:
+    """Sum of the rows of each word, and their number."""
+    width, lo = table.shape[1], 0
+    out = np.zeros((len(words), width + 1))
+    for part in _slices(words):
+        if len(part) == 1:  # of any length
+            times = np.bincount(rows_of(part), minlength=BUCKETS)
+            out[lo] = np.append(times @ table.astype(np.float64), times.sum())
+        else:
+            start, kinds = grams(part)
+            picked, number = np.zeros((len(kinds[0][0]), width), np.float32), np.zeros(len(kinds[0][0]), np.int64)
+            for row, counts in kinds:
+                picked += table[row] * counts[:, None]
+                number += counts
+            out[lo:lo + len(part), :width] = np.add.reduceat(picked, start, axis=0)
+            out[lo:lo + len(part), width] = np.add.reduceat(number, start)
+        lo += len(part)
+    return out
 
 
 def has_letter(words: list[str]) -> bool:
@@ -77,7 +135,7 @@ def examples(rows: DataFrame) -> DataFrame:
                 parts = [own] + [own[(at := rng.randrange(len(own))):at + n] for n in WINDOWS if n < len(own)]
                 for place, part in enumerate(parts):
                     if part:
-                        row, times = np.unique([b for w in part for b in subwords(w)], return_counts=True)
+                        row, times = np.unique(rows_of(part), return_counts=True)
                         out.append((lang, doc, place, calibrates, row.astype(np.int32), (times / times.sum()).astype(np.float32)))
                 if out:
                     kinds = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.float32())]
@@ -97,14 +155,18 @@ class Model:
         self.out, self.bias = np.zeros((DIM, len(langs)), np.float32), np.zeros(len(langs), np.float32)
         self.temperature, self.least = 1.0, 0.0
 
-    def logits(self, means: np.ndarray) -> np.ndarray:
-        return (means @ self.out + self.bias) / self.temperature
-
     def probabilities(self, means: np.ndarray) -> np.ndarray:
-        z = self.logits(means)
+        return self.of_logits(means @ self.out + self.bias)
+
+    def of_logits(self, logits: np.ndarray) -> np.ndarray:
+        z = logits / self.temperature
         p = np.exp(z - z.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)
 
+    def projected(self) -> np.ndarray:
+        """The linear layer applied to each row: the mean of these is the layer applied to the mean."""
+        return self.table @ self.out
+
 
 def _means(table: np.ndarray, flat: np.ndarray, weights: np.ndarray, at: np.ndarray, some: np.ndarray):
     """Means of some examples, with the distinct rows they use and the weights of these per example."""
@@ -181,38 +243,30 @@ def fit(docs: DataFrame, sample: int = SAMPLE, errors: float = ERRORS) -> Model
     return model
 
 
-class WordSums(dict):
-    """Place of a word's summed embedding (and number of rows) in a table that grows up to ``limit`` words."""
+class Words(dict):
+    """Numbers words in order of appearance, with the sums of their rows; starts anew beyond ``limit`` words."""
 
-    def __init__(self, table: np.ndarray, limit: int = 100_000):
+    def __init__(self, table: np.ndarray, limit: int = 200_000):
         super().__init__()
-        self.table, self.limit = table, limit
-        self.sums = np.zeros((1024, DIM + 1))
-
-    def vector(self, word: str) -> np.ndarray:
-        rows = subwords(word)
-        return np.append(self.table[rows].sum(axis=0, dtype=np.float64), len(rows))
+        self.table, self.limit, self.fresh = table, limit, []
+        self.sums = np.zeros((0, table.shape[1] + 1))
 
     def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.sums):
-            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-        self.sums[at] = self.vector(word)
-        self[word] = at
-        return at
-
-    def mean(self, words: list[str]) -> np.ndarray:
+        self[word] = place = len(self)
+        self.fresh.append(word)
+        return place
+
+    def means(self, texts: list[list[str]]) -> np.ndarray:
+        """Mean row of each text of at least one word; a word of many texts is worked out once."""
         if len(self) > self.limit:
             self.clear()
-        total = np.zeros(DIM + 1)
-        for lo in range(0, len(words), 10_000):
-            part = words[lo:lo + 10_000]
-            short = [w for w in part if len(w) <= CACHED] if max(map(len, part)) > CACHED else part
-            places = list(map(self.__getitem__, short))
-            total += self.sums[places].sum(axis=0)
-            if len(short) < len(part):
-                total += sum(self.vector(w) for w in part if len(w) > CACHED)
-        return total[:DIM] / total[DIM]
+            self.sums = self.sums[:0]
+        codes = [np.fromiter(map(self.__getitem__, words), np.int64, len(words)) for words in texts]
+        if self.fresh:
+            self.sums = np.concatenate([self.sums, word_sums(self.table, self.fresh)])
+            self.fresh = []
+        total = np.array([self.sums[c].sum(axis=0) for c in codes])
+        return total[:, :-1] / total[:, -1:]
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE, errors: float = ERRORS) -> DataFrame:
@@ -229,17 +283,16 @@ def identify(docs: DataFrame, sample: int = SAMPLE, errors: float = ERRORS) -> D
 
     def run(batches):
         model = shared.value
-        sums = WordSums(model.table) if model else None
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            means, judged = np.zeros((batch.num_rows, DIM)), np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows if model else 0):
-                own = words_of(texts[i].as_py())
-                if has_letter(own):
-                    judged[i], means[i] = True, sums.mean(own)
+        words = Words(model.projected()) if model else None
+        for batch in (b.slice(at, GROUP) for b in batches for at in range(0, b.num_rows, GROUP)):
+            ids = batch.column(0)
+            own = [words_of(t) for t in batch.column(1).to_pylist()] if model else []
+            judged = np.array([has_letter(w) for w in own], bool) if model else np.zeros(batch.num_rows, bool)
+            p = np.zeros((batch.num_rows, len(model.langs) if model else 1))
+            if judged.any():
+                p[judged] = model.of_logits(words.means([w for w, j in zip(own, judged) if j]) + model.bias)
             langs, score = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
             if judged.any():
-                p = model.probabilities(means)
                 best = p.argmax(axis=1)
                 score = np.where(judged, p.max(axis=1), 0.0)
                 langs = [model.langs[b] if j else "und" for b, j in zip(best, judged)]

@@ -83,13 +83,30 @@ def test_gradient():
     del rng
 
 
+def plain_rows(word):
+    """Rows of a word, one n-gram at a time."""
+    def row(text, kind):
+        value = 0
+        for c in text:
+            value = (value * int(language.BASE) + ord(c)) % 2**64
+        return int(language._row(np.array([value], np.uint64), kind)[0])
+
+    marked = f"<{word}>"
+    whole = sum(ord(c) * pow(int(language.BASE), i, 2**64) for i, c in enumerate(marked)) % 2**64
+    out = [row(c, 1) for c in word] + [row(marked[i:i + n], n) for n in language.LENGTHS for i in range(len(marked) - n + 1)]
+    return sorted([*out, int(language._row(np.array([whole], np.uint64), 0)[0])])
+
+
 def test_word_sums_agree_with_plain_means():
     model = language.Model(["a"])
-    sums = language.WordSums(model.table, limit=5)
-    for text in ["one two three", "x", "ab " * 3000, "y" * 500 + " z", "one " + "q" * 70]:
+    texts = ["one two three", "x", "ab " * 3000, "y" * 500 + " z é", "one " + "q" * 70, "\U0001d400 ёл " + "w" * 120_000]
+    words = language.Words(model.table, limit=5)
+    means = np.concatenate([words.means([language.words_of(t)]) for t in texts[:4]] + [words.means([language.words_of(t) for t in texts[4:]])])
+    for text, mean in zip(texts, means):
         own = language.words_of(text)
-        rows = [b for w in own for b in language.subwords(w)]
-        assert np.allclose(sums.mean(own), model.table[rows].mean(axis=0, dtype=np.float64))
+        rows = [b for w in own for b in plain_rows(w)]
+        assert sorted(language.rows_of(own)) == sorted(rows)
+        assert np.allclose(mean, model.table[rows].mean(axis=0, dtype=np.float64), atol=1e-6)
 
 
 def test_odd(spark):
