@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconry.functions.time import interval_micros, micros
+from beaconry.session import persist_table
 
 
 # Rows of one key and time bucket that a task should still take in one piece.
@@ -31,29 +32,23 @@ def _bucket(value: Column, width: int) -> Column:
 
 
 def split_hot_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_part: int,
-                     split_right: bool = True) -> tuple[DataFrame, DataFrame]:
+                     row: str = "_row") -> tuple[DataFrame, DataFrame]:
     """Add ``_part`` to both sides so that no (keys, _part) group is large on either.
 
-    A group over ``rows_per_part`` rows is cut by row hash, and the other side's rows are
-    repeated once per piece; a group hot on both sides becomes a raster of pieces.  An outer
-    join must not repeat its outer side, so there ``split_right`` is off.  How the table
-    of hot groups is joined is left to Spark, which measures it.  Map columns take no part in the
-    hash.
+    A group over ``rows_per_part`` rows is cut by row number, so that equal rows spread too, and the
+    other side's rows are repeated once per piece; a group hot on both sides becomes a raster of
+    pieces.  For inner joins: each pair meets in one piece.  How the table of hot groups is joined is
+    left to Spark, which measures it.
     """
     def sizes(df: DataFrame, name: str) -> DataFrame:
         return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_part)
                 .select(*keys, F.ceil(F.col("_n") / rows_per_part).cast("int").alias(name)))
 
-    hot = sizes(left, "_left")
-    if split_right:
-        hot = hot.join(sizes(right, "_right"), list(keys), "full_outer").fillna(1, ["_left", "_right"])
-    else:
-        hot = hot.withColumn("_right", F.lit(1))
+    hot = sizes(left, "_left").join(sizes(right, "_right"), list(keys), "full_outer").fillna(1, ["_left", "_right"])
 
     def piece(df: DataFrame, own: str, other: str, part: str) -> DataFrame:
-        columns = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
         df = df.join(hot, list(keys), "left").fillna(1, ["_left", "_right"])
-        mine = F.pmod(F.xxhash64(*columns), F.col(own)).cast("int")
+        mine = F.pmod(F.xxhash64(row), F.col(own)).cast("int")
         theirs = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         return (df.withColumns({"_mine": mine, "_theirs": theirs})
                 .withColumn("_part", F.expr(part)).drop("_left", "_right", "_mine", "_theirs"))
@@ -62,17 +57,46 @@ def split_hot_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], row
             piece(right, "_right", "_left", "_theirs * _right + _mine"))
 
 
+def _stored_rows(df: DataFrame, label: str) -> DataFrame:
+    return persist_table(df.withColumn("_row", F.monotonically_increasing_id()), label)
+
+
+def _split_interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
+                         before: str | None, after: str | None, how: str, closed: tuple[bool, bool],
+                         rows_per_part: int) -> DataFrame:
+    """:func:`interval_join` in pieces of bounded size.
+
+    Both inputs are stored first: they are counted and then joined.  A left join is its pairs and the left
+    rows without one.  Which these are follows from :func:`interval_sums`, which forms no pairs, so that
+    hot groups can be cut on both sides.
+    """
+    left, right = _stored_rows(left, "interval-left"), _stored_rows(right, "interval-right")
+    pairs = interval_join(left, right.withColumnRenamed("_row", "_right_row"), on, left_time, right_time, before, after, "inner",
+                          closed, _parts=rows_per_part).drop("_row", "_right_row")
+    if how == "inner":
+        return pairs
+    counted = interval_sums(left, right, on, left_time, right_time, before or "0 seconds", after or "0 seconds",
+                            {"_partners": F.lit(1)}, closed)
+    alone = counted.filter("_partners = 0").drop("_partners", "_row")
+    return pairs.unionByName(alone, allowMissingColumns=True)
+
+
 def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
                   before: str | None = None, after: str | None = None, how: str = "inner",
-                  closed: tuple[bool, bool] = (True, True), rows_per_part: int | None = None) -> DataFrame:
+                  closed: tuple[bool, bool] = (True, True), rows_per_part: int | None = None,
+                  _parts: int | None = None) -> DataFrame:
     """Pairs with equal keys and ``right_time`` in [left_time - before, left_time + after].
 
     Every left row sits in one bucket and every right row is repeated into the buckets its
     partners can be in (two at most), so no pair appears twice and outer joins stay correct.
     ``closed`` says whether the ends belong to the interval.  With ``rows_per_part`` buckets
-    measured to be hot are split further (batch only: it counts the rows per bucket first).
-    Without it both sides may be streams with watermarks.
+    measured to be hot are split further, on both sides (batch only, inner and left joins: the inputs are
+    stored, and the rows per bucket counted first).  Without it both sides may be streams with watermarks.
     """
+    if rows_per_part:
+        if how not in ("inner", "left"):
+            raise ValueError("hot buckets are split in inner and left joins")
+        return _split_interval_join(left, right, on, left_time, right_time, before, after, how, closed, rows_per_part)
     back, ahead = (interval_micros(before) if before else 0), (interval_micros(after) if after else 0)
     width = max(back + ahead, 1)
     lt, rt = micros(F.col(left_time)), micros(F.col(right_time))
@@ -80,8 +104,9 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_tim
     first, last = _bucket(rt - ahead, width), _bucket(rt + back, width)
     rhs = right.withColumn("_bucket", F.explode(F.sequence(first, last, F.lit(width))))
     keys = [*on, "_bucket"]
-    if rows_per_part:
-        lhs, rhs = split_hot_groups(lhs, rhs, keys, rows_per_part, split_right=how == "inner")
+    if _parts:
+        lhs, rhs = split_hot_groups(lhs, rhs.withColumnRenamed("_right_row", "_row"), keys, _parts)
+        rhs = rhs.withColumnRenamed("_row", "_right_row")
         keys.append("_part")
     rhs = rhs.withColumnsRenamed({k: f"_r_{k}" for k in keys})
 
@@ -98,7 +123,8 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_tim
 
 
 def interval_sums(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
-                  before: str, after: str, sums: dict[str, Column]) -> DataFrame:
+                  before: str, after: str, sums: dict[str, Column],
+                  closed: tuple[bool, bool] = (True, True)) -> DataFrame:
     """Every left row with integer sums over the right rows in [t - before, t + after].
 
     Same partners as :func:`interval_join`, but no pair is ever formed.  Right rows collapse
@@ -113,8 +139,8 @@ def interval_sums(left: DataFrame, right: DataFrame, on: Sequence[str], left_tim
     points = (left.select(*on, micros(F.col(left_time)).alias("_t")).dropna().distinct()
               .withColumn("_bucket", _bucket(F.col("_t"), width)))
     marks = points.select(*on, "_bucket", F.col("_t").alias("_point"), F.inline(F.array(
-        F.struct((F.col("_t") - back - 1).alias("_at"), F.lit(-1).alias("_sign")),
-        F.struct((F.col("_t") + ahead).alias("_at"), F.lit(1).alias("_sign")))))
+        F.struct((F.col("_t") - back - int(closed[0])).alias("_at"), F.lit(-1).alias("_sign")),
+        F.struct((F.col("_t") + ahead - int(not closed[1])).alias("_at"), F.lit(1).alias("_sign")))))
     marks = marks.withColumns({name: F.lit(0).cast("long") for name in names})
 
     facts = right.groupBy(*on, micros(F.col(right_time)).alias("_at")).agg(

@@ -68,7 +68,8 @@ def _stream_panes(lake: Lake) -> DataFrame:
     """Trailing hours from five-minute panes that a stream keeps."""
     events = dedup_events(parse_log(lake.stream("fx_syslog_once", "events"), NETWORK), NETWORK, "1 hour")
     home = scratch_path(lake.spark, "panes")
-    refresh_panes(events, NETWORK, f"{home}/data", f"{home}/checkpoint", state_partitions=_cores(lake)).awaitTermination()
+    refresh_panes(events, NETWORK, f"{home}/data", f"{home}/checkpoint", watermark=None,
+                  state_partitions=_cores(lake)).awaitTermination()
     return trailing_counts(lake.spark, NETWORK, f"{home}/data")
 
 
@@ -317,14 +318,14 @@ def _late(lake: Lake) -> DataFrame:
     return rolled.withColumn("kind", F.lit("rollup")).unionByName(late.withColumn("kind", F.lit("late")))
 
 
-_LATE_SQL = """
-    WITH rows AS (
-      SELECT time_bucket(INTERVAL '5 minutes', event_timestamp) AS window_start, event_timestamp AS at, event_id%10=7 AS last,
-        event_id>(SELECT max(event_id)//2 FROM fx_metrics) AS second FROM net_metrics),
-    marks AS (SELECT max(at) FILTER (NOT last AND NOT second) AS m1, max(at) FILTER (NOT last) AS m2 FROM rows)
+_LATE_ROWS = """(SELECT time_bucket(INTERVAL '5 minutes', event_timestamp) AS window_start, event_timestamp AS t,
+      event_id%10=7 AS last, event_id>(SELECT max(event_id)//2 FROM fx_metrics) AS second FROM net_metrics)"""
+_LATE_SQL = f"""
     SELECT CASE WHEN last AND window_start+INTERVAL 5 MINUTE<=m2-INTERVAL 10 MINUTE
         OR NOT last AND second AND window_start+INTERVAL 5 MINUTE<=m1-INTERVAL 10 MINUTE THEN 'late' ELSE 'rollup' END AS kind,
-      window_start, count(*) AS rows FROM rows, marks GROUP BY 1,2"""
+      window_start, count(*) AS rows
+    FROM {_LATE_ROWS} r, (SELECT max(t) FILTER (NOT last AND NOT second) AS m1, max(t) FILTER (NOT last) AS m2
+      FROM {_LATE_ROWS} q) m GROUP BY 1,2"""
 add("stream_late_records", _late, _LATE_SQL)
 
 

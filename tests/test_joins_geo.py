@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from beaconry.operators.geo import geo_within, near_point, nearest_other, neighbour_counts, top_bottom_n
-from beaconry.operators.joins import interval_join, interval_sums, window_containment_join, windows_after
+from beaconry.operators.joins import (
+    interval_join, interval_sums, split_hot_groups, window_containment_join, windows_after,
+)
 
 START = datetime(2026, 1, 7)
 
@@ -39,6 +41,21 @@ def test_interval_join(spark, closed, how, split):
     assert len(got) == len(set(got)) and set(got) == expected
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_key_on_both_sides(spark, how):
+    """One key has nearly all rows, many of them equal; no piece of a side is large, and equal rows spread."""
+    left = spark.createDataFrame([("hot", START)] * 400 + [("hot", START + timedelta(days=1)), ("d", START), (None, START), ("d", None)],
+                                 "device string, l_time timestamp")
+    right = spark.createDataFrame([("hot", START)] * 300 + [("x", START)], "device string, r_time timestamp")
+    joined = interval_join(left, right, ["device"], "l_time", "r_time", "5 minutes", "5 minutes", how, rows_per_part=25)
+    assert joined.filter("r_time IS NOT NULL").count() == 400 * 300
+    assert joined.filter("r_time IS NULL").count() == (4 if how == "left" else 0)
+    rows = [df.withColumns({"_bucket": F.lit(0), "_row": F.monotonically_increasing_id()}) for df in (left, right)]
+    for side in split_hot_groups(*rows, ["device", "_bucket"], 25):
+        sizes = [r["count"] for r in side.groupBy("device", "_part").count().collect()]
+        assert max(sizes) <= 60
+
+
 def test_interval_ends_belong(spark):
     s = spark.createDataFrame([("d", START)], "device string, l_time timestamp")
     e = spark.createDataFrame([("d", START + timedelta(minutes=m)) for m in (-5, 5, 6)], "device string, r_time timestamp")
