@@ -4,11 +4,11 @@ Top-order marginalisation: each word occurrence gives one row, the window of its
 after it in its piece (its lead columns, padded at the piece's end). Only these longest windows are
 counted; a ROLLUP over their columns sums every shorter prefix, which is every shorter phrase.
 
-A phrase of ``least`` occurrences has words and neighbouring pairs of at least as many. Two bit
-tables of a fixed size hold the hashed words and pairs that are frequent enough; a window is padded
-from the first word or pair on that is not. Words that share a bit only make windows longer, so the
-tables bound the work and never the result. Texts are cut into words once: a row of the stored table
-has up to a million of them, as a list of distinct words and their numbers in order.
+A phrase of ``least`` occurrences has words, pairs and triples of at least as many. Two bit tables
+of a fixed size hold the hashed words and pairs, and the triples of these, that are frequent enough;
+a window is padded from the first one on that is not. What shares a bit only makes windows longer,
+so the tables bound the work and never the result. Texts are cut into words once: a row of the stored table
+has some hundred thousand of them, as a list of distinct words and their numbers in order.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ LONGEST = 5
 LEAST = 100  # occurrences of a candidate
 TOP = 2000  # phrases a language returns
 SHARE = 100  # a candidate goes if a longer one has this percentage of its occurrences
-CHUNK = 1_000_000  # words in a row of the stored table
+CHUNK = 400_000  # words in a row of the stored table, about
 CELLS = 1 << 25  # bits in a table of frequent words or pairs
 BREAK = b"\xff"  # stands in no UTF-8 text
 CUTS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", BREAK * 10 + b" ")
@@ -94,44 +94,58 @@ def _counted(cells: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cells.astype(np.uint32).view(np.int32)), pa.array(times.astype(np.int64))], ["cell", "n"])
 
 
-def word_cells(coded: DataFrame) -> DataFrame:
-    def run(batches):
-        for _, _, hashes, codes in _rows(batches):
-            yield _counted(_cells(hashes[1:]), np.bincount(codes, minlength=len(hashes))[1:])
-
-    return coded.select("lang", "words", "codes").mapInArrow(run, "cell int, n long")
-
-
 def _set(table: np.ndarray, cells: np.ndarray) -> np.ndarray:
     """Whether the bit of each cell is set."""
     bit = cells % CELLS
     return (table[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
-def _distinct_pairs(codes: np.ndarray, known: np.ndarray):
-    """Each pair of neighbours of known words once: code of the first, of the second, times, and the place of each pair."""
-    good = known[codes]
-    at = np.flatnonzero(good[:-1] & good[1:])
-    pair, place, times = np.unique(codes[at].astype(np.int64) * len(known) + codes[at + 1], return_inverse=True, return_counts=True)
-    return pair // len(known), pair % len(known), times, at, place
+def _pairs(codes: np.ndarray):
+    """Places of words that another one follows, and the number of the pair there."""
+    at = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
+    return at, codes[at].astype(np.int64) << 32 | codes[at + 1]
+
+
+def _pair_hash(hashes: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    return mixed(mixed(hashes[pair >> 32]) + hashes[pair & 0xFFFFFFFF])
+
+
+def short_cells(coded: DataFrame) -> DataFrame:
+    """Cells of words and of pairs, with what they count."""
+    def run(batches):
+        for _, _, hashes, codes in _rows(batches):
+            yield _counted(_cells(hashes[1:]), np.bincount(codes, minlength=len(hashes))[1:])
+            pair, times = np.unique(_pairs(codes)[1], return_counts=True)
+            if len(pair):
+                yield _counted(_cells(_pair_hash(hashes, pair)), times)
+
+    return coded.select("lang", "words", "codes").mapInArrow(run, "cell int, n long")
 
 
-def _pair_hash(hashes: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mixed(mixed(hashes[first]) + hashes[second])
+def _marks(hashes: np.ndarray, codes: np.ndarray, frequent: np.ndarray):
+    """Per place: is its word frequent, is the pair from here, and the hash of that pair."""
+    word = _set(frequent, _cells(hashes))
+    word[0] = False
+    at, pair = _pairs(codes)
+    pairs, value = np.zeros(len(codes) + LONGEST, bool), np.zeros(len(codes) + LONGEST, np.uint64)
+    value[at] = _pair_hash(hashes, pair)
+    pairs[at] = _set(frequent, _cells(value[at])) & word[codes[at]] & word[codes[at + 1]]
+    return word[codes], pairs, value
 
 
-def _known(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
-    known = _set(table, _cells(hashes))
-    known[0] = False
-    return known
+def _triples(hashes: np.ndarray, codes: np.ndarray, pairs: np.ndarray, value: np.ndarray):
+    """Places of three words of which both pairs are frequent, and their hash."""
+    at = np.flatnonzero(pairs[:-1] & pairs[1:])
+    return at, mixed(value[at] * np.uint64(3) + hashes[codes[at + 2]])
 
 
-def pair_cells(coded: DataFrame, frequent_words) -> DataFrame:
+def triple_cells(coded: DataFrame, frequent) -> DataFrame:
     def run(batches):
         for _, _, hashes, codes in _rows(batches):
-            first, second, times, _, _ = _distinct_pairs(codes, _known(hashes, frequent_words.value))
-            if len(first):
-                yield _counted(_cells(_pair_hash(hashes, first, second)), times)
+            _, pairs, value = _marks(hashes, codes, frequent.value)
+            found, times = np.unique(_triples(hashes, codes, pairs, value)[1], return_counts=True)
+            if len(found):
+                yield _counted(_cells(found), times)
 
     return coded.select("lang", "words", "codes").mapInArrow(run, "cell int, n long")
 
@@ -147,26 +161,25 @@ def bit_table(cells: DataFrame, least: int):
     return cells.sparkSession.sparkContext.broadcast(table.view(np.uint8))
 
 
-def windows(coded: DataFrame, frequent_words, frequent_pairs) -> DataFrame:
+def windows(coded: DataFrame, frequent, frequent_triples) -> DataFrame:
     """(lang, w1..w5, n): the longest windows, padded with null, counted per stored row."""
     def run(batches):
         for lang, words, hashes, codes in _rows(batches):
-            known = _known(hashes, frequent_words.value)
-            first, second, _, at, place = _distinct_pairs(codes, known)
-            goes_on = np.zeros(len(codes) + LONGEST, bool)
-            if len(first):
-                goes_on[at] = _set(frequent_pairs.value, _cells(_pair_hash(hashes, first, second)))[place]
-            starts = np.flatnonzero(known[codes])
+            word, pairs, value = _marks(hashes, codes, frequent.value)
+            starts = np.flatnonzero(word)
             if not len(starts):
                 continue
+            at, found = _triples(hashes, codes, pairs, value)
+            triples = np.zeros(len(codes) + LONGEST, bool)
+            triples[at] = _set(frequent_triples.value, _cells(found))
             padded = np.append(codes, np.zeros(LONGEST, np.int32))
             lead, alive = [codes[starts]], np.ones(len(starts), bool)
             for i in range(1, LONGEST):
-                alive = alive & goes_on[starts + i - 1]
+                alive = alive & (pairs[starts] if i == 1 else triples[starts + i - 2])
                 lead.append(np.where(alive, padded[starts + i], 0))
             group = lead[0].astype(np.int64)
             for column in lead[1:]:  # number the distinct prefixes, one word longer each time
-                _, group = np.unique(group * len(known) + column, return_inverse=True)
+                _, group = np.unique(group * len(hashes) + column, return_inverse=True)
             _, shown, times = np.unique(group, return_index=True, return_counts=True)
             spelled = pa.array([None, *words], pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -220,9 +233,10 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int | None = TOP, sha
     """
     with small_batches(docs.sparkSession, 500):
         coded = persist_table(code_words(docs), "phrase-words")
-        frequent_words = bit_table(word_cells(coded), least)
-        frequent_pairs = bit_table(pair_cells(coded, frequent_words), least)
-        counts = persist_table(phrase_counts(windows(coded, frequent_words, frequent_pairs), least), "phrase-counts")
+    with small_batches(docs.sparkSession, 4):  # its rows are long
+        frequent = bit_table(short_cells(coded), least)
+        triples = bit_table(triple_cells(coded, frequent), least)
+        counts = persist_table(phrase_counts(windows(coded, frequent, triples), least), "phrase-counts")
     totals = coded.groupBy("lang").agg(F.sum("n").alias("n"))
     found = uncovered(scored(counts, totals), share)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

@@ -71,8 +71,8 @@ def test_rollup_counts_every_length(spark):
 
 def _counts(docs):
     coded = phrases.persist_table(phrases.code_words(docs), "words")
-    words = phrases.bit_table(phrases.word_cells(coded), 1)
-    return phrases.phrase_counts(phrases.windows(coded, words, phrases.bit_table(phrases.pair_cells(coded, words), 1)), 1)
+    short = phrases.bit_table(phrases.short_cells(coded), 1)
+    return phrases.phrase_counts(phrases.windows(coded, short, phrases.bit_table(phrases.triple_cells(coded, short), 1)), 1)
 
 
 def test_odd(spark):
