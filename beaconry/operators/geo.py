@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,23 +126,31 @@ def near_point(points: DataFrame, lat: float, lon: float, km: float) -> DataFram
     return measured.filter(F.col("distance_km") <= km)
 
 
+def _several_places(known: DataFrame, key: str) -> DataFrame:
+    """Keys that stand at more than one place or in more than one group."""
+    return known.groupBy(key).agg(F.count(F.lit(1)).alias("_places")).filter("_places > 1").select(key, F.lit(True).alias("_several"))
+
+
 def neighbour_counts(points: DataFrame, km: float, group: str, cells_per_radius: int = 8,
                      key: str = "store_id") -> DataFrame:
     """Points with the number of others within ``km``, of the same and of another group.
 
-    Distinct ``key`` values at a place count, never the own one, so a repeated row adds nothing.  A
-    point without group or place is returned with zeros and counted by nobody.
+    Distinct ``key`` values count, never the own one: neither a repeated row nor a key that stands at
+    several places or in several groups counts twice, or itself.  A point without group or place
+    is returned with zeros and counted by nobody.
 
     Cells are small against the radius, so most neighbour cells lie wholly inside the circle
     and add their count as one number; only cells cut by the circle are looked at point by
-    point.  Crowded places therefore never pair up with themselves.
+    point.  Crowded places therefore never pair up with themselves.  Cells can only add up keys of
+    one place and group; the few keys of several are compared one by one and counted distinct.
     """
     grid = Grid(km / KM_PER_DEGREE / cells_per_radius)
     # Read several times below, so the points are computed once and kept in shared storage.
     known = points.select(key, "latitude", "longitude", group).dropna().distinct()
+    known = known.join(_several_places(known, key), key, "left").fillna(False, ["_several"])
     placed = persist_table(grid.place(known, "latitude", "longitude"), "points")
     spots = placed.groupBy("latitude", "longitude", "_band", "_cell", F.col(group).alias("_g")).agg(
-        F.count(F.lit(1)).alias("_n"))
+        F.count_if(~F.col("_several")).alias("_n"))
     here = ["_band", "_cell"]
     there = ["_b_band", "_b_cell"]
     cells = spots.groupBy(*here, "_g").agg(F.sum("_n").alias("_n"))
@@ -161,9 +170,9 @@ def neighbour_counts(points: DataFrame, km: float, group: str, cells_per_radius:
               .agg(F.sum("_n").alias("_in_same")))
     inside_all = inside.groupBy(*here).agg(F.sum("_in_same").alias("_in_all"))
 
-    far_spots = spots.select(*[F.col(c).alias(t) for c, t in zip(here, there)],
-                             F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
-                             F.col("_g").alias("_bg"), F.col("_n").alias("_bn"))
+    far_spots = spots.filter("_n > 0").select(*[F.col(c).alias(t) for c, t in zip(here, there)],
+                                              F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
+                                              F.col("_g").alias("_bg"), F.col("_n").alias("_bn"))
     rim = (pairs.filter(~whole).select(*here, *there).join(spots, here).join(far_spots, there)
            .filter(haversine_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon")) <= km)
            .groupBy("latitude", "longitude", "_g")
@@ -174,74 +183,176 @@ def neighbour_counts(points: DataFrame, km: float, group: str, cells_per_radius:
                .join(rim, ["latitude", "longitude", "_g"], "left")
                .fillna(0, ["_in_same", "_in_all", "_rim_all", "_rim_same"]))
     same = F.col("_in_same") + F.col("_rim_same")
-    counted = counted.select("latitude", "longitude", F.col("_g").alias(group),
-                             (same - 1).alias("same_group_count"),
-                             (F.col("_in_all") + F.col("_rim_all") - same).alias("other_group_count"))
+    counted = counted.select("latitude", "longitude", F.col("_g").alias(group), same.alias("_same"),
+                             (F.col("_in_all") + F.col("_rim_all") - same).alias("_other"))
+
+    several = placed.filter("_several").select(key, "latitude", "longitude", group)
+    apart = geo_within(placed.select(key, "latitude", "longitude", group), several, km, F.col(key) != F.col(f"near_{key}"))
+    alike = F.col(group) == F.col(f"near_{group}")
+    apart = apart.groupBy(key, "latitude", "longitude", group).agg(
+        F.count_distinct(F.when(alike, F.col(f"near_{key}"))).alias("_same_apart"),
+        F.count_distinct(F.when(~alike, F.col(f"near_{key}"))).alias("_other_apart"))
+    counted = (placed.select(key, "latitude", "longitude", group, "_several").join(counted, ["latitude", "longitude", group])
+               .join(apart, [key, "latitude", "longitude", group], "left").fillna(0, ["_same_apart", "_other_apart"]))
+    itself = F.when(F.col("_several"), 0).otherwise(1)  # counted where it stands alone
+    counted = counted.select(key, "latitude", "longitude", group,
+                             (F.col("_same") - itself + F.col("_same_apart")).alias("same_group_count"),
+                             (F.col("_other") + F.col("_other_apart")).alias("other_group_count"))
     counts = ["same_group_count", "other_group_count"]
-    return points.join(counted, ["latitude", "longitude", group], "left").fillna(0, counts)
+    return points.join(counted, [key, "latitude", "longitude", group], "left").fillna(0, counts)
 
 
-def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", height: float = 22.5,
-                  split: int = 8, levels: int = 5) -> DataFrame:
-    """Points with the distance to the nearest point of another group.
+CROWD = 1_000_000  # point pairs of a cell that are compared rather than cut further
 
-    Points without a group, or where no other group exists, drop out; a point without a place, or
-    with no placed point of another group, keeps a NULL distance.
 
-    Grids from continents down to city blocks narrow the search.  On each grid a (cell, group)
-    keeps the cells that can still hold the nearest point: those no farther than the surest
-    cell is at most.  What is left on the finest grid is compared point by point.
+def _shortlists(spots: DataFrame, weights: DataFrame, count: int, own: Sequence[str], height: float, split: int, levels: int,
+                crowd: int, eligible: Column | None) -> DataFrame:
+    """Pairs of cells, ``_level, _ab, _ac, _bb, _bc`` and ``own``, that hold for each point its ``count`` nearest.
+
+    A quadtree walked from continents down: on each grid a cell keeps the cells that can still hold one of
+    the nearest points, that is those no farther than the cells are, at most, in which ``count`` eligible points
+    stand surely. A cell whose points and candidates make at most ``crowd`` pairs is done; others are cut
+    ``split`` x ``split``. The points are counted once, on the finest grid; coarser cells add these
+    counts up. ``weights`` may carry columns beside the count ``_n`` that ``eligible`` looks at.
     """
+    marks = [c for c in weights.columns if c not in ("_band", "_cell", "_n")]
     grids = [Grid(height, split ** level) for level in range(levels)]
-    # Every grid reads the points again, so they are computed once and kept in shared storage.
-    known = points.dropna(subset=["latitude", "longitude", group])
-    placed = persist_table(grids[-1].place(known, "latitude", "longitude"), "points")
-    spots = placed.select("latitude", "longitude", "_band", "_cell", F.col(group).alias("_g")).distinct()
+    mine = persist_table(spots.groupBy("_band", "_cell", *own).agg(F.count(F.lit(1)).alias("_m")), "cells")
+    theirs = persist_table(weights, "cells")
+    a, b = ["_ab", "_ac"], ["_bb", "_bc"]
 
-    def at(level: int, column: str) -> Column:
-        return F.floor(F.col(column) / split ** (levels - 1 - level)).cast("long")
+    def coarser(cells: DataFrame, level: int, names: Sequence[str], keep: Sequence[str], number: str) -> DataFrame:
+        width = split ** (levels - 1 - level)
+        up = [F.floor(F.col(c) / width).cast("long").alias(n) for c, n in zip(("_band", "_cell"), names)]
+        return cells.groupBy(*up, *keep).agg(F.sum(number).alias(number))
 
     def units(level: int) -> DataFrame:
-        return spots.select(at(level, "_band").alias("_ab"), at(level, "_cell").alias("_ac"), "_g").distinct()
+        return coarser(mine, level, a, own, "_m")
 
-    def targets(level: int) -> DataFrame:
-        return spots.groupBy(at(level, "_band").alias("_bb"), at(level, "_cell").alias("_bc")).agg(
-            F.min("_g").alias("_low"), F.max("_g").alias("_high"))
+    def aims(level: int) -> DataFrame:
+        return coarser(theirs, level, b, marks, "_n")
 
-    other = (F.col("_low") != F.col("_g")) | (F.col("_high") != F.col("_g"))
-    bands = math.ceil(180 / height)
-    per_band = max(1, math.floor(360 / height))
     # The coarsest grid has a fixed number of cells, whatever the data.
-    start = (units(0).withColumn("_bb", F.explode(F.sequence(F.lit(0), F.lit(bands - 1)).cast("array<long>")))
-             .withColumn("_bc", F.explode(F.sequence(F.lit(0), F.lit(per_band - 1)).cast("array<long>"))))
-    candidates = start.join(targets(0), ["_bb", "_bc"]).filter(other).drop("_low", "_high")
-
+    wide = (units(0).withColumn("_bb", F.explode(F.sequence(F.lit(0), F.lit(math.ceil(180 / height) - 1)).cast("array<long>")))
+            .withColumn("_bc", F.explode(F.sequence(F.lit(0), F.lit(max(1, math.floor(360 / height)) - 1)).cast("array<long>"))))
+    found, done = wide.join(aims(0), b), []
     for level, grid in enumerate(grids):
-        if level:
-            up = [(F.floor(F.col(c) / split).cast("long")).alias(f"_p{c}") for c in ("_ab", "_ac")]
-            down = [(F.floor(F.col(c) / split).cast("long")).alias(f"_p{c}") for c in ("_bb", "_bc")]
-            finer = units(level).select("_ab", "_ac", "_g", *up)
-            aims = targets(level).select("_bb", "_bc", "_low", "_high", *down)
-            candidates = (candidates.withColumnsRenamed({c: f"_p{c}" for c in ("_ab", "_ac", "_bb", "_bc")})
-                          .join(finer, ["_p_ab", "_p_ac", "_g"]).join(aims, ["_p_bb", "_p_bc"])
-                          .filter(other).select("_ab", "_ac", "_g", "_bb", "_bc"))
-        boxed = grid.with_box(grid.with_box(candidates, "_ab", "_ac", "a_"), "_bb", "_bc", "b_")
-        unit = Window.partitionBy("_ab", "_ac", "_g")
-        candidates = (_with_bounds(boxed, grid.height).withColumn("_bound", F.min("_far").over(unit))
-                      .filter(F.col("_near") <= F.col("_bound") + _SLACK_KM)
-                      .select("_ab", "_ac", "_g", "_bb", "_bc"))
-
-    mine = spots.withColumnsRenamed({"_band": "_ab", "_cell": "_ac"})
-    theirs = spots.select(F.col("_band").alias("_bb"), F.col("_cell").alias("_bc"), F.col("_g").alias("_bg"),
-                          F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
-    found = (candidates.join(mine, ["_ab", "_ac", "_g"]).join(theirs, ["_bb", "_bc"])
-             .filter(F.col("_bg") != F.col("_g")).groupBy("latitude", "longitude", "_g")
-             .agg(F.min(haversine_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon")))
-                  .alias(distance)))
+        if eligible is not None:
+            found = found.filter(eligible)
+        found = found.groupBy(*a, *own, *b).agg(F.first("_m").alias("_m"), F.sum("_n").alias("_n"))
+        boxed = _with_bounds(grid.with_box(grid.with_box(found, *a, "a_"), *b, "b_"), grid.height)
+        unit = Window.partitionBy(*a, *own)
+        sure = F.sum("_n").over(unit.orderBy("_far", *b))
+        boxed = boxed.withColumn("_sure", sure).withColumn("_bound", F.min(F.when(F.col("_sure") >= count, F.col("_far"))).over(unit))
+        kept = boxed.filter(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound") + _SLACK_KM))
+        kept = kept.withColumn("_pairs", F.col("_m") * F.sum("_n").over(unit))
+        kept = persist_table(kept.select(*a, *own, *b, "_pairs"), "shortlist")
+        last = level == levels - 1
+        done.append(kept.filter(F.lit(True) if last else F.col("_pairs") <= crowd).select(F.lit(level).alias("_level"), *a, *own, *b))
+        open_ = kept.filter(F.col("_pairs") > crowd).drop("_pairs")
+        if last or open_.isEmpty():
+            break
+        parts = [F.floor(F.col(c) / split).cast("long").alias(f"_p{c}") for c in (*a, *b)]
+        finer = units(level + 1).select("*", *parts[:2])
+        nearer = aims(level + 1).select("*", *parts[2:])
+        found = (open_.withColumnsRenamed({c: f"_p{c}" for c in (*a, *b)})
+                 .join(finer, ["_p_ab", "_p_ac", *own]).join(nearer, ["_p_bb", "_p_bc"]))
+    return reduce(DataFrame.unionByName, done)
+
+
+def _at_levels(spots: DataFrame, levels: int, split: int, used: Sequence[int], names: tuple[str, str]) -> DataFrame:
+    """Spots once for each level in use, with their cell on its grid."""
+    at = F.explode(F.array(*[F.lit(level) for level in used])).alias("_level")
+    cut = F.pow(F.lit(float(split)), F.lit(levels - 1) - F.col("_level"))
+    return spots.select("*", at).withColumns({n: F.floor(F.col(c) / cut).cast("long") for n, c in zip(names, ("_band", "_cell"))}).drop(
+        "_band", "_cell")
+
+
+def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", height: float = 22.5,
+                  split: int = 8, levels: int = 5, key: str | None = None, crowd: int = CROWD) -> DataFrame:
+    """Points with the distance to the nearest point of another group, and of another ``key`` if one is named.
+
+    Points without a group, or where no other group exists, drop out; a point without a place, or
+    with no placed point of another group (and key), keeps a NULL distance.
+
+    Only cells that hold many points are cut down to fine grids, see :func:`_shortlists`. A key in
+    several groups would find itself, so its points look for more of the nearest: as many as it has places.
+    """
+    # Read several times below, so the points are computed once and kept in shared storage.
+    known = points.dropna(subset=["latitude", "longitude", group])
+    grid = Grid(height, split ** (levels - 1))
+    columns = ["latitude", "longitude", F.col(group).alias("_g"), *([F.col(key).alias("_key")] if key else [])]
+    placed = persist_table(grid.place(known.select(*columns).distinct(), "latitude", "longitude"), "points")
+    spots = placed.select("latitude", "longitude", "_band", "_cell", "_g").distinct()
+    weights = spots.groupBy("_band", "_cell", F.col("_g").alias("_bg")).agg(F.count(F.lit(1)).alias("_n"))
+    other = F.col("_bg") != F.col("_g")
+    measured = F.min(haversine_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))).alias(distance)
+    shortlist = _shortlists(spots, weights, 1, ["_g"], height, split, levels, crowd, other)
+    found = _compare(shortlist, spots, spots, ["_g"], levels, split).filter(other).groupBy("latitude", "longitude", "_g").agg(measured)
+    by = ["latitude", "longitude", group]
+    found = found.withColumnRenamed("_g", group)
+    if key:
+        mixed = placed.filter("_key IS NOT NULL").groupBy("_key").agg(
+            F.count_distinct("_g").alias("_groups"), F.count(F.lit(1)).alias("_own")).filter("_groups > 1")
+        own = persist_table(placed.join(mixed, "_key"), "mixed-keys")
+        most = own.agg(F.max("_own")).first()[0]
+        if most:
+            own = own.drop("_groups", "_own")
+            shortlist = _shortlists(own, weights, most + 1, ["_g"], height, split, levels, crowd, other)
+            theirs = placed.withColumnRenamed("_key", "_their_key")
+            alone = (_compare(shortlist, own, theirs, ["_g"], levels, split).filter(other & ~F.col("_their_key").eqNullSafe(F.col("_key")))
+                     .groupBy("latitude", "longitude", "_g", "_key").agg(measured))
+            alone = own.select("latitude", "longitude", "_g", "_key").distinct().join(alone, ["latitude", "longitude", "_g", "_key"], "left")
+            alone = alone.select("latitude", "longitude", F.col("_g").alias(group), F.col("_key").alias(key),
+                                 F.col(distance).alias("_alone"), F.lit(True).alias("_mixed"))
+            points = points.join(alone, [*by, key], "left")
     groups = points.agg(F.min(group).alias("_low"), F.max(group).alias("_high"))  # one row
     rivalled = points.crossJoin(groups).filter((F.col(group) != F.col("_low")) | (F.col(group) != F.col("_high")))
-    return rivalled.drop("_low", "_high").join(
-        found.withColumnRenamed("_g", group), ["latitude", "longitude", group], "left")
+    out = rivalled.drop("_low", "_high").join(found, by, "left")
+    if "_mixed" in out.columns:
+        out = out.withColumn(distance, F.when(F.col("_mixed"), F.col("_alone")).otherwise(F.col(distance))).drop("_alone", "_mixed")
+    return out
+
+
+def _compare(shortlist: DataFrame, left: DataFrame, right: DataFrame, own: Sequence[str], levels: int, split: int) -> DataFrame:
+    """Left spots beside the right spots (``_lat``, ``_lon``, ``_bg``, ...) of the cells on their shortlist."""
+    shortlist = persist_table(shortlist, "shortlist")
+    used = sorted(r["_level"] for r in shortlist.select("_level").distinct().collect())
+    if not used:
+        used = [0]
+    near = right.withColumnsRenamed({"latitude": "_lat", "longitude": "_lon", "_g": "_bg"})
+    mine = _at_levels(left, levels, split, used, ("_ab", "_ac"))
+    theirs = _at_levels(near, levels, split, used, ("_bb", "_bc"))
+    return shortlist.join(mine, ["_level", "_ab", "_ac", *own]).join(theirs, ["_level", "_bb", "_bc"])
+
+
+def nearest_k(points: DataFrame, k: int, km: float, key: str = "store_id", group: str | None = None, height: float = 22.5,
+              split: int = 8, levels: int = 5, crowd: int = CROWD) -> DataFrame:
+    """The ``k`` nearest other keys within ``km`` of each key: key, near key, ``distance_km``, ``place`` from 1.
+
+    The distance between two keys is that of their nearest places; ties go to the smaller key. With a
+    ``group``, neighbours are of the own group only, and keys without one have none. Rows without
+    key or place are left out. No pairs of all neighbours are formed: :func:`_shortlists` bounds what is compared.
+    """
+    wanted = [key, "latitude", "longitude"] + ([group] if group else [])
+    known = points.select(*wanted).dropna().distinct().withColumnsRenamed({key: "_key"} | ({group: "_g"} if group else {}))
+    if not group:
+        known = known.withColumn("_g", F.lit(0))
+    grid = Grid(height, split ** (levels - 1))
+    placed = persist_table(grid.place(known, "latitude", "longitude"), "points")
+    most = placed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 1
+    weights = placed.groupBy("_band", "_cell", F.col("_g").alias("_bg")).agg(F.count(F.lit(1)).alias("_n"))
+    alike = F.col("_bg") == F.col("_g")
+    # k other keys stand surely where (k + 1) * most rows do, as a key has at most that many.
+    shortlist = _shortlists(placed, weights, (k + 1) * most, ["_g"], height, split, levels, crowd, alike)
+    theirs = placed.withColumnRenamed("_key", "_near")
+    measured = haversine_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))
+    pairs = (_compare(shortlist, placed, theirs, ["_g"], levels, split).filter(alike & (F.col("_key") != F.col("_near")))
+             .withColumn("distance_km", measured).filter(F.col("distance_km") <= km)
+             .groupBy("_key", "_near").agg(F.min("distance_km").alias("distance_km")))
+    order = Window.partitionBy("_key").orderBy("distance_km", "_near")
+    best = pairs.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    return best.select(F.col("_key").alias(key), F.col("_near").alias(f"near_{key}"), "distance_km", "place")
 
 
 def top_bottom_n(df: DataFrame, part: str, metric: str, n: int, tie: str,

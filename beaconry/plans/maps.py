@@ -104,7 +104,7 @@ def failure_clusters(events: DataFrame, stores: DataFrame, as_of: AsOf, last: st
 
 
 def nearest_competitor(stores: DataFrame, health: DataFrame) -> DataFrame:
-    found = nearest_other(_restaurants(stores).select(*_STORE), "brand", "nearest_competitor_km")
+    found = nearest_other(_restaurants(stores).select(*_STORE), "brand", "nearest_competitor_km", key="store_id")
     state = health.select("store_id", "health_score", "current_dt_wait_time_sec")
     return found.join(state, "store_id").select(
         *_STORE, "nearest_competitor_km",

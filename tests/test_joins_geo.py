@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from beaconry.operators.geo import geo_within, near_point, nearest_other, neighbour_counts, top_bottom_n
+from beaconry.operators.geo import geo_within, near_point, nearest_k, nearest_other, neighbour_counts, top_bottom_n
 from beaconry.operators.joins import (
     interval_join, interval_sums, split_hot_groups, window_containment_join, windows_after,
 )
@@ -157,6 +157,60 @@ def test_nearest_other(spark):
         assert got[a[0]] == pytest.approx(min(_km(a[2:], b[2:]) for b in data if b[1] != a[1]), abs=1e-6)
 
 
+@pytest.mark.parametrize("crowd", [1, 40, 10_000])
+def test_nearest_of_another_key(spark, crowd):
+    """Some keys have several places and several groups; crowded cells are cut to any depth."""
+    data, _ = _points(spark, 9, CENTRES, 90, 0.5)
+    data = [(i % 60, *rest) for i, *rest in data]
+    df = spark.createDataFrame(data, "id int, brand string, latitude double, longitude double")
+    rows = nearest_other(df, "brand", key="id", crowd=crowd, split=4, levels=7).collect()
+    assert len(rows) == len(data)
+    for r in rows:
+        best = min(_km((r.latitude, r.longitude), b[2:]) for b in data if b[1] != r.brand and b[0] != r.id)
+        assert r.nearest_km == pytest.approx(best, abs=1e-6)
+    own = spark.createDataFrame([("a", "X", 1.0, 1.0), ("a", "Y", 1.0, 1.1)], "id string, brand string, latitude double, longitude double")
+    assert [r.nearest_km for r in nearest_other(own, "brand", key="id").collect()] == [None, None]
+
+
+@pytest.mark.parametrize("k,km,group,crowd", [(1, 500.0, None, 10_000), (3, 60.0, "brand", 20), (4, 20_100.0, None, 50)])
+def test_nearest_k(spark, k, km, group, crowd):
+    data, _ = _points(spark, 10, CENTRES, 80, 0.5)
+    data = [(i % 65, *rest) for i, *rest in data] + [(900, None, *data[0][2:]), (901, data[0][1], None, None)]
+    df = spark.createDataFrame(data, "store_id int, brand string, latitude double, longitude double")
+    got = {}
+    for r in nearest_k(df, k, km, group=group, crowd=crowd).collect():
+        got.setdefault(r.store_id, []).append((r.place, r.near_store_id, r.distance_km))
+    known = [d for d in data if d[2] is not None and (not group or d[1] is not None)]
+    for a in {d[0] for d in known}:
+        best = {}
+        for x in known:
+            for y in known:
+                if x[0] == a and y[0] != a and (not group or x[1] == y[1]) and _km(x[2:], y[2:]) <= km:
+                    best[y[0]] = min(best.get(y[0], 1e9), _km(x[2:], y[2:]))
+        found = sorted(got.get(a, []))
+        assert [d for _, _, d in found] == pytest.approx(sorted(best.values())[:k], abs=1e-6)
+        assert [best[i] for _, i, _ in found] == pytest.approx([d for _, _, d in found], abs=1e-6) and len({i for _, i, _ in found}) == len(found)
+
+
+def test_neighbours_of_keys_at_several_places(spark):
+    rows = [("a", "B1", 34.0, -118.0), ("a", "B1", 34.001, -118.0), ("b", "B1", 34.0, -118.001), ("c", "B1", 34.0, -118.002),
+            ("c", "B2", 34.0, -118.002), ("d", "B2", 34.002, -118.0)]
+    df = spark.createDataFrame(rows, "store_id string, brand string, latitude double, longitude double")
+    got = {(r.store_id, r.brand): (r.same_group_count, r.other_group_count) for r in neighbour_counts(df, 5.0, "brand").collect()}
+    assert got == {("a", "B1"): (2, 2), ("b", "B1"): (2, 2), ("c", "B1"): (2, 1), ("c", "B2"): (1, 2), ("d", "B2"): (1, 3)}
+
+
+@pytest.mark.parametrize("km,cells", [(5.0, 8), (60.0, 4)])
+def test_neighbour_counts_by_key(spark, km, cells):
+    data, _ = _points(spark, 11, CENTRES, 120, 0.3)
+    data = [(i % 80, *rest) for i, *rest in data]
+    df = spark.createDataFrame(data, "id int, brand string, latitude double, longitude double")
+    for r in neighbour_counts(df, km, "brand", cells, "id").collect():
+        near = [b for b in data if b[0] != r.id and _km((r.latitude, r.longitude), b[2:]) <= km]
+        assert r.same_group_count == len({b[0] for b in near if b[1] == r.brand})
+        assert r.other_group_count == len({b[0] for b in near if b[1] != r.brand})
+
+
 def test_nearest_other_without_competitor(spark):
     df = spark.createDataFrame([(1, "A", 0.0, 0.0), (2, "A", 1.0, 1.0)], "id int, brand string, latitude double, longitude double")
     assert nearest_other(df, "brand").count() == 0
