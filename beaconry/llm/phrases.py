@@ -26,7 +26,7 @@ LONGEST = 5
 LEAST = 100  # occurrences of a candidate
 TOP = 2000  # phrases a language returns
 SHARE = 100  # a candidate goes if a longer one has this percentage of its occurrences
-CHUNK = 400_000  # words in a row of the stored table, about
+CHUNK = 200_000  # words in a row of the stored table, about
 CELLS = 1 << 25  # bits in a table of frequent words or pairs
 BREAK = b"\xff"  # stands in no UTF-8 text
 CUTS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", BREAK * 10 + b" ")
