@@ -146,6 +146,7 @@ def neighbour_counts(points: DataFrame, km: float, group: str, cells_per_radius:
     """
     grid = Grid(km / KM_PER_DEGREE / cells_per_radius)
     # Read several times below, so the points are computed once and kept in shared storage.
+    points = persist_table(points, "points")
     known = points.select(key, "latitude", "longitude", group).dropna().distinct()
     known = known.join(_several_places(known, key), key, "left").fillna(False, ["_several"])
     placed = persist_table(grid.place(known, "latitude", "longitude"), "points")
@@ -206,8 +207,9 @@ CROWD = 1_000_000  # point pairs of a cell that are compared rather than cut fur
 
 
 def _shortlists(spots: DataFrame, weights: DataFrame, count: int, own: Sequence[str], height: float, split: int, levels: int,
-                crowd: int, eligible: Column | None) -> DataFrame:
-    """Pairs of cells, ``_level, _ab, _ac, _bb, _bc`` and ``own``, that hold for each point its ``count`` nearest.
+                crowd: int, eligible: Column) -> tuple[DataFrame, int]:
+    """Pairs of cells, ``_level, _ab, _ac, _bb, _bc`` and ``own``, that hold for each point its ``count`` nearest,
+    and the number of levels walked.
 
     A quadtree walked from continents down: on each grid a cell keeps the cells that can still hold one of
     the nearest points, that is those no farther than the cells are, at most, in which ``count`` eligible points
@@ -237,9 +239,7 @@ def _shortlists(spots: DataFrame, weights: DataFrame, count: int, own: Sequence[
             .withColumn("_bc", F.explode(F.sequence(F.lit(0), F.lit(max(1, math.floor(360 / height)) - 1)).cast("array<long>"))))
     found, done = wide.join(aims(0), b), []
     for level, grid in enumerate(grids):
-        if eligible is not None:
-            found = found.filter(eligible)
-        found = found.groupBy(*a, *own, *b).agg(F.first("_m").alias("_m"), F.sum("_n").alias("_n"))
+        found = found.filter(eligible).groupBy(*a, *own, *b).agg(F.first("_m").alias("_m"), F.sum("_n").alias("_n"))
         boxed = _with_bounds(grid.with_box(grid.with_box(found, *a, "a_"), *b, "b_"), grid.height)
         unit = Window.partitionBy(*a, *own)
         sure = F.sum("_n").over(unit.orderBy("_far", *b))
@@ -257,12 +257,12 @@ def _shortlists(spots: DataFrame, weights: DataFrame, count: int, own: Sequence[
         nearer = aims(level + 1).select("*", *parts[2:])
         found = (open_.withColumnsRenamed({c: f"_p{c}" for c in (*a, *b)})
                  .join(finer, ["_p_ab", "_p_ac", *own]).join(nearer, ["_p_bb", "_p_bc"]))
-    return reduce(DataFrame.unionByName, done)
+    return reduce(DataFrame.unionByName, done), len(done)
 
 
-def _at_levels(spots: DataFrame, levels: int, split: int, used: Sequence[int], names: tuple[str, str]) -> DataFrame:
-    """Spots once for each level in use, with their cell on its grid."""
-    at = F.explode(F.array(*[F.lit(level) for level in used])).alias("_level")
+def _at_levels(spots: DataFrame, levels: int, split: int, walked: int, names: tuple[str, str]) -> DataFrame:
+    """Spots once for each level that was walked, with their cell on its grid."""
+    at = F.explode(F.array(*[F.lit(level) for level in range(walked)])).alias("_level")
     cut = F.pow(F.lit(float(split)), F.lit(levels - 1) - F.col("_level"))
     return spots.select("*", at).withColumns({n: F.floor(F.col(c) / cut).cast("long") for n, c in zip(names, ("_band", "_cell"))}).drop(
         "_band", "_cell")
@@ -279,6 +279,7 @@ def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", h
     several groups would find itself, so its points look for more of the nearest: as many as it has places.
     """
     # Read several times below, so the points are computed once and kept in shared storage.
+    points = persist_table(points, "points")
     known = points.dropna(subset=["latitude", "longitude", group])
     grid = Grid(height, split ** (levels - 1))
     columns = ["latitude", "longitude", F.col(group).alias("_g"), *([F.col(key).alias("_key")] if key else [])]
@@ -287,8 +288,8 @@ def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", h
     weights = spots.groupBy("_band", "_cell", F.col("_g").alias("_bg")).agg(F.count(F.lit(1)).alias("_n"))
     other = F.col("_bg") != F.col("_g")
     measured = F.min(haversine_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))).alias(distance)
-    shortlist = _shortlists(spots, weights, 1, ["_g"], height, split, levels, crowd, other)
-    found = _compare(shortlist, spots, spots, ["_g"], levels, split).filter(other).groupBy("latitude", "longitude", "_g").agg(measured)
+    shortlist, walked = _shortlists(spots, weights, 1, ["_g"], height, split, levels, crowd, other)
+    found = _compare(shortlist, walked, spots, spots, ["_g"], levels, split).filter(other).groupBy("latitude", "longitude", "_g").agg(measured)
     by = ["latitude", "longitude", group]
     found = found.withColumnRenamed("_g", group)
     if key:
@@ -298,9 +299,9 @@ def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", h
         most = own.agg(F.max("_own")).first()[0]
         if most:
             own = own.drop("_groups", "_own")
-            shortlist = _shortlists(own, weights, most + 1, ["_g"], height, split, levels, crowd, other)
+            shortlist, walked = _shortlists(own, weights, most + 1, ["_g"], height, split, levels, crowd, other)
             theirs = placed.withColumnRenamed("_key", "_their_key")
-            alone = (_compare(shortlist, own, theirs, ["_g"], levels, split).filter(other & ~F.col("_their_key").eqNullSafe(F.col("_key")))
+            alone = (_compare(shortlist, walked, own, theirs, ["_g"], levels, split).filter(other & ~F.col("_their_key").eqNullSafe(F.col("_key")))
                      .groupBy("latitude", "longitude", "_g", "_key").agg(measured))
             alone = own.select("latitude", "longitude", "_g", "_key").distinct().join(alone, ["latitude", "longitude", "_g", "_key"], "left")
             alone = alone.select("latitude", "longitude", F.col("_g").alias(group), F.col("_key").alias(key),
@@ -314,15 +315,11 @@ def nearest_other(points: DataFrame, group: str, distance: str = "nearest_km", h
     return out
 
 
-def _compare(shortlist: DataFrame, left: DataFrame, right: DataFrame, own: Sequence[str], levels: int, split: int) -> DataFrame:
+def _compare(shortlist: DataFrame, walked: int, left: DataFrame, right: DataFrame, own: Sequence[str], levels: int, split: int) -> DataFrame:
     """Left spots beside the right spots (``_lat``, ``_lon``, ``_bg``, ...) of the cells on their shortlist."""
-    shortlist = persist_table(shortlist, "shortlist")
-    used = sorted(r["_level"] for r in shortlist.select("_level").distinct().collect())
-    if not used:
-        used = [0]
     near = right.withColumnsRenamed({"latitude": "_lat", "longitude": "_lon", "_g": "_bg"})
-    mine = _at_levels(left, levels, split, used, ("_ab", "_ac"))
-    theirs = _at_levels(near, levels, split, used, ("_bb", "_bc"))
+    mine = _at_levels(left, levels, split, walked, ("_ab", "_ac"))
+    theirs = _at_levels(near, levels, split, walked, ("_bb", "_bc"))
     return shortlist.join(mine, ["_level", "_ab", "_ac", *own]).join(theirs, ["_level", "_bb", "_bc"])
 
 
@@ -344,10 +341,10 @@ def nearest_k(points: DataFrame, k: int, km: float, key: str = "store_id", group
     weights = placed.groupBy("_band", "_cell", F.col("_g").alias("_bg")).agg(F.count(F.lit(1)).alias("_n"))
     alike = F.col("_bg") == F.col("_g")
     # k other keys stand surely where (k + 1) * most rows do, as a key has at most that many.
-    shortlist = _shortlists(placed, weights, (k + 1) * most, ["_g"], height, split, levels, crowd, alike)
+    shortlist, walked = _shortlists(placed, weights, (k + 1) * most, ["_g"], height, split, levels, crowd, alike)
     theirs = placed.withColumnRenamed("_key", "_near")
     measured = haversine_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))
-    pairs = (_compare(shortlist, placed, theirs, ["_g"], levels, split).filter(alike & (F.col("_key") != F.col("_near")))
+    pairs = (_compare(shortlist, walked, placed, theirs, ["_g"], levels, split).filter(alike & (F.col("_key") != F.col("_near")))
              .withColumn("distance_km", measured).filter(F.col("distance_km") <= km)
              .groupBy("_key", "_near").agg(F.min("distance_km").alias("distance_km")))
     order = Window.partitionBy("_key").orderBy("distance_km", "_near")
