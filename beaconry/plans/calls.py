@@ -128,7 +128,7 @@ def session_failures(sessions: DataFrame, events: DataFrame, reach: str = "5 min
                             reach, reach, {"_events": F.lit(1), "_critical": F.col("is_critical").cast("int")})
     pairs = F.greatest(F.col("_events"), F.lit(1))
     timings = {"avg_invite_response_ms": "invite_response_time_ms", "avg_setup_time_ms": "session_setup_time_ms"}
-    keys = ["sip_method", "final_response_code"]
+    keys = ["sip_method", "final_response_code", *(c for c in ("final_response_desc",) if c in sessions.columns)]
     # Down to one row per session first: the two distinct counts become plain counts.
     sessions = counted.groupBy(*keys, "session_id").agg(
         F.sum(pairs).alias("_pairs"),

@@ -142,6 +142,13 @@ FIXTURES = {
           CAST(50+o_orderkey%450 AS DOUBLE) AS invite_response_time_ms,
           CAST(200+o_orderkey%2800 AS DOUBLE) AS session_setup_time_ms
         FROM orders""",
+    "fx_sip_described": f"""
+        SELECT *, CASE final_response_code WHEN 503 THEN 'Service Unavailable' WHEN 408 THEN 'Request Timeout'
+            ELSE CASE WHEN session_id%7<>0 THEN 'OK' END END AS final_response_desc,
+          {_pick("array('P-CSCF','I-CSCF','S-CSCF','AS')", "session_id%4")} AS ims_node_type,
+          regexp_extract(location,'-(.*)$',1) AS region FROM fx_sip""",
+    "fx_subscribers_regional": "SELECT *, regexp_extract(home_location,'-(.*)$',1) AS region FROM fx_subscribers",
+    "fx_nodes_regional": "SELECT *, regexp_extract(ims_node_location,'-(.*)$',1) AS region FROM fx_nodes",
     "fx_subscribers": f"""
         SELECT c_custkey AS session_id, {_device("c_custkey")} AS device_id,
           {_location("c_custkey")} AS home_location,
