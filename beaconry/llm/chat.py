@@ -66,7 +66,7 @@ def parse(chunks) -> Iterator[tuple[str, str]]:
 
 
 def format_turns(turns: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) -> conv_id, turn, role, formatted, loss_from, loss_to.
+    """Rows (conv_id, turn, role, text) -> conv_id, turn, role, text, formatted, loss_from, loss_to.
 
     One output row per turn; a conversation is its rows in order (turn, role, text). The loss mask
     is the span of an assistant's text in ``formatted`` (code points), null for other roles.
@@ -80,12 +80,12 @@ def format_turns(turns: DataFrame) -> DataFrame:
             loss = [m if r == "assistant" else (0, None, None) for m, r in zip(made, roles)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(convs, pa.int64()), pa.array(order, pa.int64()), pa.array([r or "" for r in roles], pa.string()),
-                 pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in loss], pa.int64()),
-                 pa.array([m[2] for m in loss], pa.int64())],
-                ["conv_id", "turn", "role", "formatted", "loss_from", "loss_to"])
+                 pa.array([t or "" for t in texts], pa.string()), pa.array([m[0] for m in made], pa.string()),
+                 pa.array([m[1] for m in loss], pa.int64()), pa.array([m[2] for m in loss], pa.int64())],
+                ["conv_id", "turn", "role", "text", "formatted", "loss_from", "loss_to"])
 
     narrow = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
-    return narrow.mapInArrow(run, "conv_id long, turn long, role string, formatted string, loss_from long, loss_to long")
+    return narrow.mapInArrow(run, "conv_id long, turn long, role string, text string, formatted string, loss_from long, loss_to long")
 
 
 class _Digest:
@@ -116,7 +116,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of what the formatted turns say, one row per conversation.
 
     A conversation's digest needs its turns in order, so they stream through one task, sorted by
-    Spark and never held together.
+    Spark and never held together. The text is only there to order turns that tie: formatted ones sort
+    otherwise, for what closes them counts.
     """
     def run(batches):
         types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
@@ -139,7 +140,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         if now is not None:
             yield table([now.row()])
 
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "formatted")
+    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", "formatted", "loss_from", "loss_to").mapInArrow(run, READ)
 
 

@@ -47,3 +47,10 @@ def test_ties_repeat(spark):
                                "conv_id long, turn long, role string, text string")
     got = chat.read_back(chat.format_turns(df)).first()
     assert tuple(got)[1:3] == expected([("system", "s"), ("user", "a"), ("user", "a"), ("user", "b")])[:2]
+
+
+def test_ties_are_ordered_by_the_text_itself(spark):
+    texts = ["a", "a ", "a!", "a<|im_end|>", "a\\", "a~"]
+    df = spark.createDataFrame([(1, 0, "user", t) for t in reversed(texts)], "conv_id long, turn long, role string, text string")
+    got = chat.read_back(chat.format_turns(df)).first()
+    assert tuple(got)[1:3] == expected([("user", t) for t in sorted(texts, key=str.encode)])[:2]
