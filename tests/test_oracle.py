@@ -16,7 +16,9 @@ NAMES = [
     "sip_event_pairs_split", "sip_event_correlation", "regional_kpis", "subscriber_experience",
     "node_performance", "call_window_latency", "geo_top_bottom", "geo_saturation", "geo_nearest",
     "dash_critical_events", "event_impact", "timing_consistency", "zscore_outliers", "stream_rollup_5min",
-    "stream_interval_join", "json_ingest", "rescued_data", "stream_schema_evolution",
+    "stream_interval_join", "json_ingest", "rescued_data", "stream_schema_evolution", "scd2_history",
+    "stream_trailing_counts", "geo_neighbour_counts", "geo_nearest_other_key", "geo_nearest_three_of_brand",
+    "sip_failures_described", "node_performance_regional", "incremental_device_health",
 ]
 
 
