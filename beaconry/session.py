@@ -5,9 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from beaconry.sinks.files import remove
+
 # Runtime re-planning (partition coalescing, skew splitting, broadcast on measured
 # size) carries most of the scale work, so it is stated rather than assumed.
 SETTINGS = {
@@ -55,8 +59,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def persist_table(df, label: str):
+_area: ContextVar[tuple | None] = ContextVar("area", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables stored inside are removed at the end; those stored with ``keep`` pass to the area around, if any."""
+    paths: list[str] = []
+    token = _area.set((paths, _area.get()))
+    try:
+        yield
+    finally:
+        _area.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
+def persist_table(df, label: str, keep: bool = False):
     """Cut the lineage by writing to the shared folder and reading back."""
     path = scratch_path(df.sparkSession, label)
+    area = _area.get()
+    if area and keep:
+        area = area[1]
+    if area:
+        area[0].append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
