@@ -55,6 +55,7 @@ class WordHashes(dict):
 
 
 ODD = np.uint64(0x9E3779B97F4A7C15)  # 2**64 over the golden ratio
+THREE = np.uint64(3)  # makes a sum of two hashes depend on their order
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -67,15 +68,24 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of ``k`` words; the whole sequence as one run when it is shorter."""
+    """Hash of each run of ``k`` words; the whole sequence as one run when it is shorter.
+
+    Runs of 1, 2, 4, ... words are hashed from their halves, and those that make up ``k`` are combined.
+    """
     if not len(hashes):
         return hashes
     k = min(k, len(hashes))
     n = len(hashes) - k + 1
-    out = np.full(n, k, np.uint64)
-    for i in range(k):
-        out = mixed(out + hashes[i:i + n])
-    return out
+    out, at = np.full(n, k, np.uint64), 0
+    run, span = hashes, 1
+    while True:
+        if k & span:
+            out = mixed(out * THREE + run[at:at + n])
+            at += span
+        if at == k:
+            return out
+        run = mixed(run[:-span] * THREE + run[span:])
+        span *= 2
 
 
 def per_process(key: tuple, make: Callable):
