@@ -6,14 +6,15 @@ holds a kept suffix with 39 of its words from there on and at most 11 before. Su
 39 words occur once are left out; the others are sorted across the cluster by these words, their block.
 Around a block stand at most 12 windows of 50 words, by how many of these precede it. A window
 that two documents have is a passage, whatever the order of the suffixes, and longer passages are
-the union of their windows. Blocks that one task holds are decided there, the others by their distinct
-surroundings.
+the union of their windows. Every task decides the blocks it holds; those that lie in several are decided
+again by their distinct surroundings.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,9 +28,10 @@ GRAM, NEAR = 5, 12  # words that choose a minimiser; neighbouring starts it is c
 BLOCK = LEAST - NEAR + 1  # words that a kept suffix must share
 SIDE = NEAR - 1  # words a passage may have beyond the blocks of its kept suffixes
 ANCHOR = "key long, doc_id long, at long, before binary, after binary"
-FOUND = "doc_id long, begin long, end long, other long, at long, key long, pattern long, open boolean, before binary, after binary, a long, b long"
+FOUND = "doc_id long, begin long, end long, other long, at long, key long, pattern long, chunk long, before binary, after binary, a long, b long"
 HELD = 50_000  # rows of a block that a task decides by itself
 NONE = np.iinfo(np.int64).max
+NO_ID = np.iinfo(np.int64).min  # stands for a null id, which sorts first
 
 
 def minimisers(h: np.ndarray) -> np.ndarray:
@@ -79,7 +81,7 @@ def anchors(docs: DataFrame, bits) -> DataFrame:
                     steps = np.arange(SIDE)
                     before = pad[at[:, None] + SIDE - 1 - steps]
                     after = pad[at[:, None] + SIDE + BLOCK + steps]
-                    out.append((key.view(np.int64), np.full(len(at), doc if doc is not None else -1, np.int64), at, before, after))
+                    out.append((key.view(np.int64), np.full(len(at), NO_ID if doc is None else doc, np.int64), at, before, after))
             if out:
                 key, doc, at, before, after = (np.concatenate(c) for c in zip(*out))
                 pack = lambda a: pa.FixedSizeBinaryArray.from_buffers(
@@ -121,11 +123,11 @@ def _two_smallest(ids: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.nda
 def match_blocks(rows: DataFrame) -> DataFrame:
     """Suffixes sorted by block -> the span of each that another document has too.
 
-    A block that lies whole in a task's range is decided there. Of one that may go on in another range,
-    or has more than HELD rows, all rows are ``open``: they name the pattern of words around, and each pattern's
-    words come with the two smallest documents met at once, once per HELD rows or so.
+    A chunk of a task's range is decided at once. The rows of a block at its border, which may go on in
+    another chunk, also name their chunk and the pattern of words around, and each pattern's words come
+    with the two smallest documents met, once per chunk.
     """
-    def decide(table, opened):
+    def decide(table, opened, chunk):
         key, doc, at = (table.column(i).to_numpy() for i in range(3))
         before, after = (np.frombuffer(b"".join(table.column(i).to_pylist()), np.uint32).reshape(-1, SIDE) for i in (3, 4))
         left = np.isin(key, np.array(opened, np.int64))
@@ -134,7 +136,7 @@ def match_blocks(rows: DataFrame) -> DataFrame:
         one = np.empty(len(patterns), np.int64)  # a row of each pattern
         one[of_row] = np.arange(len(key))
         # Windows of patterns, met in the documents of each.
-        p, n = np.nonzero(whole[one] & ~left[one][:, None])
+        p, n = np.nonzero(whole[one])
         met, second = window[one][p, n], next_[p] != NONE
         _, place, least, more = _two_smallest(np.concatenate([met, met[second]]), np.concatenate([low[p], next_[p][second]]))
         place = place[:len(p)]
@@ -156,11 +158,13 @@ def match_blocks(rows: DataFrame) -> DataFrame:
         words_ = [pa.array([v if s else None for v, s in zip(table.column(i).take(pa.array(keep)).to_pylist(), shown)], pa.binary()) for i in (3, 4)]
         two = [pa.array(v[of_row][keep], pa.int64(), mask=~shown | (v[of_row][keep] == NONE)) for v in (low, next_)]
         columns = [pa.array(v[keep]) for v in (doc, begin, end, other, at, key)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(pattern.view(np.int64)[keep]), pa.array(left[keep]), *words_, *two],
+        return pa.RecordBatch.from_arrays([*columns, pa.array(pattern.view(np.int64)[keep]),
+                                           pa.array(np.full(len(keep), chunk), mask=~left[keep]), *words_, *two],
                                           [f.split()[0] for f in FOUND.split(", ")])
 
     def run(batches):
         parts, held, hot = [], 0, None
+        chunk = TaskContext.get().partitionId() << 32
 
         def flush(final):
             nonlocal parts, held, hot
@@ -189,9 +193,10 @@ def match_blocks(rows: DataFrame) -> DataFrame:
             if held >= 2 * HELD:
                 table, opened = flush(False)
                 if table is not None:
-                    yield decide(table, opened)
+                    yield decide(table, opened, chunk)
+                    chunk += 1
         if held:
-            yield decide(*flush(True))
+            yield decide(*flush(True), chunk)
 
     return rows.mapInArrow(run, FOUND)
 
@@ -199,13 +204,13 @@ def match_blocks(rows: DataFrame) -> DataFrame:
 def _two_smallest_rows(rows: DataFrame, key: str) -> DataFrame:
     """(key, a, b) repeated -> one row per key with the two smallest documents of all; b null if one."""
     docs = rows.select(key, F.explode(F.array("a", "b")).alias("doc")).where("doc IS NOT NULL").distinct()
-    first = docs.groupBy(key).agg(F.min("doc").alias("a"))
-    return docs.join(first, key).groupBy(key).agg(F.min("a").alias("a"), F.min(F.when(F.col("doc") > F.col("a"), F.col("doc"))).alias("b"))
+    first = docs.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy("doc"))).where("place <= 2")
+    return first.groupBy(key).agg(F.min("doc").alias("a"), F.max(F.when(F.col("place") == 2, F.col("doc"))).alias("b"))
 
 
 def open_patterns(found: DataFrame) -> DataFrame:
     """(pattern, longest, shortest, o1, o2): words before the block in the first and last window that two
-    documents have, and the two smallest of these, for the patterns of open blocks from all ranges."""
+    documents have, and the two smallest of these, for the patterns of blocks in several chunks."""
     def run(batches):
         for batch in batches:
             key, pattern = (batch.column(i).to_numpy() for i in (0, 1))
@@ -216,7 +221,9 @@ def open_patterns(found: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(pattern[p]), pa.array(window[p, n].view(np.int64)), pa.array(n), batch.column(4).take(at), batch.column(5).take(at)],
                                              ["pattern", "window", "n", "a", "b"])
 
-    shown = found.where("before IS NOT NULL").select("key", "pattern", "before", "after", "a", "b")
+    borders = found.where("before IS NOT NULL")
+    cut = borders.groupBy("key").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).where("lo < hi")
+    shown = borders.join(cut, "key", "left_semi").select("key", "pattern", "before", "after", "a", "b")
     windows = persist_table(shown.mapInArrow(run, "pattern long, window long, n long, a long, b long"), "open-windows")
     shared = persist_table(_two_smallest_rows(windows.select("window", "a", "b"), "window").where("b IS NOT NULL"), "shared-windows")
     met = windows.select("pattern", "window", "n").distinct().join(shared, "window")
@@ -230,7 +237,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     Rows (doc_id, begin, n_words, other_id): ``begin`` counts words from 0, ``other_id`` is the smallest
     document met there. Repeats inside one document do not count. Words are runs of anything but
     ASCII white space, A-Z lower-cased. Null, empty and short texts give nothing; rows without an id
-    are one document, -1; repeated rows with one id are one document. Further columns are ignored.
+    are one document, whose null sorts first; repeated rows with one id are one document. Further columns are ignored.
     """
     with small_batches(docs.sparkSession, 1000):
         bits = docs.sparkSession.sparkContext.broadcast(shared_keys(docs))
@@ -238,9 +245,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     order = ["key", "doc_id", "at"]
     found = persist_table(match_blocks(rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*rows.columns)), "blocks")
     late = open_patterns(found)
-    # One join for all rows: those that are decided have no open pattern.
-    spans = found.select("doc_id", "begin", "end", "other", "at", "open", "pattern").join(
-        late.withColumn("open", F.lit(True)), ["pattern", "open"], "left")
+    # One join for all rows: those that one chunk decided have no pattern there.
+    spans = found.select("doc_id", "begin", "end", "other", "at", "pattern").join(late, "pattern", "left")
     late = lambda a, b: F.when(F.col("longest").isNotNull(), F.expr(a)).otherwise(F.col(b)).alias(b)
     spans = spans.select("doc_id", late("at - longest", "begin"), late(f"at - shortest + {LEAST}", "end"), late("if(doc_id = o1, o2, o1)", "other"))
     spans = spans.where(F.col("end") > F.col("begin"))
@@ -249,5 +255,6 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     reach = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.coalesce(F.col("begin") > reach, F.lit(True)).cast("int")
     islands = spans.withColumn("opens", opens).withColumn("island", F.sum("opens").over(line))
-    return islands.groupBy("doc_id", "island").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("other").alias("other_id")).select(
-        "doc_id", "begin", (F.col("end") - F.col("begin")).alias("n_words"), "other_id")
+    whole = islands.groupBy("doc_id", "island").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("other").alias("other_id"))
+    named = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
+    return whole.select(named("doc_id"), "begin", (F.col("end") - F.col("begin")).alias("n_words"), named("other_id"))

@@ -11,13 +11,13 @@ def brute(rows):
     for doc, text in rows:
         w = words(text)
         for i in range(len(w) - repeats.LEAST + 1):
-            seen.setdefault(tuple(w[i:i + repeats.LEAST]), set()).add(-1 if doc is None else doc)
+            seen.setdefault(tuple(w[i:i + repeats.LEAST]), set()).add(doc)
     covered = set()
     for doc, text in rows:
         w = words(text)
         for i in range(len(w) - repeats.LEAST + 1):
             if len(seen[tuple(w[i:i + repeats.LEAST])]) > 1:
-                covered |= {(-1 if doc is None else doc, j) for j in range(i, i + repeats.LEAST)}
+                covered |= {(doc, j) for j in range(i, i + repeats.LEAST)}
     return covered
 
 
@@ -56,7 +56,8 @@ def test_only_across_documents(spark):
 
 
 def test_odd(spark):
-    check(spark, ODD + [(30, prose(1, 70)), (30, prose(1, 70)), (None, prose(1, 70))])
+    got = check(spark, ODD + [(30, prose(1, 70)), (30, prose(1, 70)), (None, prose(1, 70)), (-1, prose(1, 70))])
+    assert {(r["doc_id"], r["other_id"]) for r in got} == {(30, None), (-1, None), (None, -1)}
     check(spark, [])
 
 
