@@ -12,7 +12,8 @@ one. Two sets that are similar to it are connected already. For any other pair x
 most min(|x & leader|, |y & leader|) plus what they share outside the leader, so either they share an
 n-gram outside it (these residual n-grams make the lists of the next level), or both are so close to
 the leader that the bound allows it by itself (a narrow band, which needs a y smaller than the
-leader). The last level lists all pairs that are left.
+leader). A set that is in the leader's component by now only has to meet those that are not. The last
+level lists all pairs that are left.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ from pyspark.sql import types as T
 
 from beaconry.llm.components import components
 from beaconry.llm.text import WordHashes, mixed, shingle_hashes, small_batches, words
-from beaconry.session import persist_table
+from beaconry.session import persist_table, scratch
 
 WORDS, PERCENT = 5, 80
-SHORT = 12  # sets in a list whose pairs are all compared
+SHORT = 3  # sets in a list whose pairs are all compared
 BITS = 1 << 26
-LEVELS = 4
+LEVELS = 6
 BATCH = 500  # texts or pairs of sets in memory at once
 
 
@@ -184,27 +185,28 @@ def segments(docs: DataFrame, bits, needed: DataFrame, rule: Rule) -> DataFrame:
     return persist_table(docs.select("doc_id", "text").mapInArrow(run, "c long, f int, tokens binary"), "segments")
 
 
-def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Stored (a, b, f, o, m, rest) per fragment: overlap, size of b there, and b without a for star pairs."""
+def overlaps(pairs: DataFrame, parts: DataFrame, rule: Rule) -> DataFrame:
+    """Stored (a, b, f, o, m, rest) per fragment: overlap, size of b there, and for star pairs b without a,
+    of which no more is stored than the prefix that meets any set similar to b."""
     def run(batches):
         for batch in batches:
             o, m, rests = [], [], []
-            for star, ta, tb in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5))):
+            for star, nb, ta, tb in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5, 6))):
                 a, b = np.frombuffer(ta or b"", np.uint64), np.frombuffer(tb, np.uint64)
                 at = np.searchsorted(a, b)
                 same = a[np.minimum(at, len(a) - 1)] == b if len(a) else np.zeros(len(b), bool)
                 o.append(int(same.sum()))
                 m.append(len(b))
-                rests.append(b[~same].view(np.int64) if star else np.zeros(0, np.int64))
+                rests.append(b[~same][:nb - rule.least(nb) + 1].view(np.int64) if star else np.zeros(0, np.int64))
             offsets = np.cumsum([0] + [len(r) for r in rests]).astype(np.int32)
             flat = np.concatenate(rests) if rests else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(o, pa.int32()), pa.array(m, pa.int32()),
                                               pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
                                              ["a", "b", "f", "o", "m", "rest"])
 
-    of_b = pairs.select("a", "b", "star").join(parts.select(F.col("c").alias("b"), "f", F.col("tokens").alias("tb")), "b")
+    of_b = pairs.select("a", "b", "nb", "star").join(parts.select(F.col("c").alias("b"), "f", F.col("tokens").alias("tb")), "b")
     of_a = parts.select(F.col("c").alias("a"), "f", F.col("tokens").alias("ta"))
-    both = of_b.join(of_a, ["a", "f"], "left").select("a", "b", "f", "star", "ta", "tb")
+    both = of_b.join(of_a, ["a", "f"], "left").select("a", "b", "f", "star", "nb", "ta", "tb")
     return persist_table(both.mapInArrow(run, "a long, b long, f int, o int, m int, rest array<long>"), "overlaps")
 
 
@@ -216,10 +218,10 @@ def _with_component(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _lists(entries: DataFrame) -> DataFrame:
-    """Entries of keys that at least two components share, with the number of entries."""
+    """Stored entries of keys that at least two components share, with the number of entries."""
     counts = entries.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     shared = persist_table(counts.where("lo <> hi").select("key", "k"), "keys")
-    return persist_table(entries.join(shared, "key"), "lists")
+    return persist_table(entries.join(shared, "key"), "lists", keep=True)
 
 
 def _all_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
@@ -238,28 +240,33 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
 
 def _next_level(star: DataFrame, counted: DataFrame, roots: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """Residual entries and band pairs of the star pairs (a, na, b, nb, o)."""
+    for side in "ab":
+        named = roots.select(F.col("node").alias(side), F.col("root").alias(f"c{side}"))
+        star = star.join(named, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
     smallest = star.groupBy("a").agg(F.min("nb").alias("s"))
     least = F.expr(f"({rule.percent} * nb + 99) div 100")
-    linked = F.col("o") >= rule.need("na", "nb")
-    members = persist_table(
-        star.join(smallest, "a").withColumn("linked", linked).withColumn("least", least)
-        .withColumn("s", F.least("na", F.greatest("s", "least"))).withColumn("short", rule.need("nb", "s") - F.col("o"))
-        .withColumn("t", F.when(F.col("linked"), 1).otherwise(F.greatest(F.col("short"), F.lit(1)))), "members")
+    sized = persist_table(
+        star.join(smallest, "a").withColumn("joined", F.expr("ca = cb")).withColumn("least", least)
+        .withColumn("s", F.least("na", F.greatest("s", "least"))).withColumn("short", rule.need("nb", "s") - F.col("o")), "sized")
+    # A pair needs the larger t of both outside the leader, and one of them is not of its component.
+    apart = sized.where("NOT joined").groupBy("a").agg(F.min(F.greatest("short", F.lit(1))).alias("apart"))
+    members = persist_table(sized.join(apart, "a").withColumn(
+        "t", F.greatest("short", F.when(F.col("joined"), F.col("apart")).otherwise(F.lit(1)))), "members")
     # Fragments follow the global order, so a prefix of the residual set is cut fragment by fragment.
-    rest = counted.where("size(rest) > 0").groupBy("a", "b", "f").agg(F.first("rest").alias("rest"))
-    sizes = rest.groupBy("a", "b").agg(F.collect_list(F.struct("f", F.size("rest").alias("k"))).alias("ks"))  # a few fragments
+    rest = counted.where("size(rest) > 0").groupBy("a", "b", "f").agg(F.first("rest").alias("rest"), F.first(F.col("m") - F.col("o")).alias("k"))
+    sizes = rest.groupBy("a", "b").agg(F.collect_list(F.struct("f", "k")).alias("ks"))  # a few fragments
     keep = members.join(sizes, ["a", "b"]).withColumn("total", F.expr("aggregate(ks, 0, (x, y) -> x + y.k)"))
-    keep = keep.withColumn("keep", F.expr("total - t + 1")).where("keep > 0")
+    keep = keep.withColumn("keep", F.expr("least(total - t + 1, nb - least + 1)")).where("keep > 0")
     cut = rest.join(keep.select("a", "b", F.col("nb").alias("n"), "ks", "keep"), ["a", "b"])
     cut = cut.withColumn("own", F.expr("keep - aggregate(filter(ks, y -> y.f < f), 0, (x, y) -> x + y.k)")).where("own > 0")
     entries = cut.select(F.col("b").alias("c"), "n", "a", F.explode(F.expr("slice(rest, 1, CAST(least(own, size(rest)) AS INT))")).alias("t"))
     entries = entries.select(F.xxhash64("a", "t").alias("key"), "c", "n")
-    x = members.where("NOT linked AND short <= 0").select("a", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("o").alias("ox"))
-    y = members.where("nb < na AND o >= least").select("a", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("o").alias("oy"))
-    band = x.join(y, "a").where("x <> y").where(rule.close("nx", "ny")).where(F.least("ox", "oy") >= rule.need("nx", "ny"))
+    x = members.where("NOT joined AND short <= 0").select("a", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("o").alias("ox"), F.col("cb").alias("cx"))
+    y = members.where("nb < na AND o >= least").select("a", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("o").alias("oy"), F.col("cb").alias("cy"))
+    band = x.join(y, "a").where("cx <> cy").where(rule.close("nx", "ny")).where(F.least("ox", "oy") >= rule.need("nx", "ny"))
     band = band.select(F.least("x", "y").alias("a"), F.expr("if(x < y, nx, ny)").alias("na"), F.greatest("x", "y").alias("b"),
                        F.expr("if(x < y, ny, nx)").alias("nb"), F.lit(False).alias("star"))
-    return entries, band
+    return entries, persist_table(band, "band", keep=True)
 
 
 def link_sets(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
@@ -280,24 +287,25 @@ def _link_sets(docs: DataFrame, rule: Rule):
     parts = segments(docs, bits, persist_table(needed, "needed"), rule)
     links, roots, band = None, None, None
     for level in range(LEVELS):
-        long_ = lists.where(F.col("k") > SHORT) if level < LEVELS - 1 else lists.limit(0)
-        pairs = _all_pairs(lists.where(F.col("k") <= SHORT) if level < LEVELS - 1 else lists, rule)
-        if level < LEVELS - 1:
-            pairs = pairs.unionByName(_star_pairs(long_))
-        if band is not None:
-            pairs = pairs.unionByName(band)
-        pairs = persist_table(pairs.groupBy("a", "na", "b", "nb").agg(F.max("star").alias("star")), "pairs")
-        counted = overlaps(pairs, parts)
-        once = counted.groupBy("a", "b", "f").agg(F.max("o").alias("o"))  # a segment may stand twice
-        summed = persist_table(pairs.join(once.groupBy("a", "b").agg(F.sum("o").alias("o")), ["a", "b"]), "summed")
-        new = summed.where(F.col("o") >= rule.need("na", "nb")).select("a", "b")
-        links = persist_table(new if links is None else links.unionByName(new).distinct(), "links")
-        roots = persist_table(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
-        star = summed.where("star")
-        if star.limit(1).count() == 0:
-            break
-        entries, band = _next_level(star, counted, roots, rule)
-        lists = _lists(_with_component(entries, roots))
+        with scratch(docs.sparkSession):
+            last = level == LEVELS - 1
+            pairs = _all_pairs(lists if last else lists.where(F.col("k") <= SHORT), rule)
+            if not last:
+                pairs = pairs.unionByName(_star_pairs(lists.where(F.col("k") > SHORT)))
+            if band is not None:
+                pairs = pairs.unionByName(band)
+            pairs = persist_table(pairs.groupBy("a", "na", "b", "nb").agg(F.max("star").alias("star")), "pairs")
+            counted = overlaps(pairs, parts, rule)
+            once = counted.groupBy("a", "b", "f").agg(F.max("o").alias("o"))  # a segment may stand twice
+            summed = persist_table(pairs.join(once.groupBy("a", "b").agg(F.sum("o").alias("o")), ["a", "b"]), "summed")
+            new = summed.where(F.col("o") >= rule.need("na", "nb")).select("a", "b")
+            links = persist_table(new if links is None else links.unionByName(new).distinct(), "links", keep=True)
+            roots = persist_table(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots", keep=True)
+            star = summed.where("star")
+            if star.limit(1).count() == 0:
+                break
+            entries, band = _next_level(star, counted, roots, rule)
+            lists = _lists(_with_component(entries, roots))
     return sets, classes, links, roots
 
 
@@ -309,8 +317,12 @@ def link_documents(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     ids among them. Rows repeated with the same id are one class; an empty table gives an empty
     result; further columns are ignored.
     """
-    rule = rule or Rule()
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with scratch(docs.sparkSession):
+        named = _linked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rule or Rule())
+        return persist_table(named, "linked-documents", keep=True)
+
+
+def _linked(docs: DataFrame, rule: Rule) -> DataFrame:
     sets, classes, _, roots = link_sets(docs, rule)
     rooted = classes.join(roots, classes["c"] == roots["node"]).select("c", "rep", "root")
     heads = persist_table(rooted.groupBy("root").agg(F.min("rep").alias("head")), "component-heads")
@@ -337,6 +349,17 @@ def _with_digest(docs: DataFrame, rule: Rule) -> DataFrame:
         return persist_table(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_own", T.BinaryType())])), "near-digests")
 
 
+def _kept(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """Stored ids and digests (_id, _d) of what stays, and the ids that are null or stand in several rows (_odd)."""
+    sets, classes, _, roots = link_sets(docs, rule)
+    rooted = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "d")).alias("first"))
+    kept = first.select(F.col("first.rep").alias("_id"), F.col("first.d").alias("_d")).unionByName(
+        sets.where("n = 0").select(F.col("doc_id").alias("_id"), F.lit(None).cast("binary").alias("_d")))
+    odd = sets.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").select(F.col("doc_id").alias("_odd"))
+    return persist_table(kept, "near-kept", keep=True), persist_table(odd, "near-odd", keep=True)
+
+
 def one_per_group(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     """The documents that stay, all columns: of each component the one with the smallest doc_id, null last,
     and those without words.
@@ -345,12 +368,8 @@ def one_per_group(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     are one document, different ones are documents of their own. Without words and id, each row stays.
     """
     rule = rule or Rule()
-    sets, classes, _, roots = link_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rule)
-    rooted = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "d")).alias("first"))
-    kept = persist_table(first.select(F.col("first.rep").alias("_id"), F.col("first.d").alias("_d"))
-                         .unionByName(sets.where("n = 0").select(F.col("doc_id").alias("_id"), F.lit(None).cast("binary").alias("_d"))), "near-kept")
-    odd = persist_table(sets.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").select(F.col("doc_id").alias("_odd")), "near-odd")
+    with scratch(docs.sparkSession):
+        kept, odd = _kept(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rule)
     out = docs.join(kept.where("_id IS NOT NULL").select("_id"), F.expr("CAST(doc_id AS LONG) = _id"), "left_semi")
     if not odd.limit(1).count():
         return out
