@@ -30,29 +30,29 @@ CLASSES, HEAD, SWEEPS = 32, 1024, 8
 RARE, END = CLASSES, CLASSES + 1  # of words seen once or never; of the end of a text
 REST = CLASSES  # while clustering: a neighbour outside the head
 CHUNK = 1_000_000  # words
+PARTIAL = 200_000  # distinct words that a task counts before it hands their counts on
 PACK = 1 << 24  # code * PACK + count
 
 
 def head_words(docs: DataFrame) -> tuple[list[bytes], int]:
-    """The most frequent training words (each task reports its own most frequent), and the training tokens."""
+    """The most frequent training words, all of them counted, and the training tokens."""
     def run(batches):
+        kinds = [pa.binary(), pa.int64()]
         counts, tokens = Counter(), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 own = words(text)
                 counts.update(own)
                 tokens += len(own) + 1
-                if len(counts) > 200 * HEAD:  # frequent words stay, whatever the order of the text
-                    counts = Counter(dict(counts.most_common(20 * HEAD)))
-        top = counts.most_common(4 * HEAD)
-        yield pa.RecordBatch.from_arrays([pa.array([None] + [w for w, _ in top], pa.binary()),
-                                          pa.array([tokens] + [n for _, n in top], pa.int64())], ["word", "n"])
-
-    sums = persist_table(docs.where("NOT held_out").select("text").mapInArrow(run, "word binary, n long")
-                         .groupBy("word").agg(F.sum("n").alias("n")), "head-words")
-    tokens = sums.where("word IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    top = sums.where("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(HEAD).collect()
-    return [bytes(r["word"]) for r in top], tokens
+                if len(counts) > PARTIAL:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((counts.keys(), counts.values()), kinds)], ["word", "n"])
+                    counts = Counter()
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([None, *counts], [tokens, *counts.values()]), kinds)], ["word", "n"])
+
+    sums = docs.where("NOT held_out").select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = sums.orderBy(F.asc_nulls_first(F.when(F.col("word").isNotNull(), True)), F.desc("n"), "word").limit(HEAD + 1).collect()  # tokens first
+    tokens = next((r["n"] for r in top if r["word"] is None), 0)
+    return [bytes(r["word"]) for r in top if r["word"] is not None], tokens
 
 
 def head_bigrams(docs: DataFrame, head: list[bytes]) -> np.ndarray:

@@ -86,3 +86,15 @@ def test_probabilities_sum_to_one(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert check(spark, [], tmp_path) == []
+
+
+def test_head_counts_every_word(spark, monkeypatch):
+    """A word that many tasks see, but that none has among its most frequent."""
+    monkeypatch.setattr(brown, "HEAD", 2)
+    rows = [(i == 3, " ".join([f"w{i}x{j}" for j in range(30)] * 10 + ["steady"] * 9)) for i in range(4)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "held_out boolean, text string")
+    for partial in (5, 200_000):
+        monkeypatch.setattr(brown, "PARTIAL", partial, raising=False)
+        head, tokens = brown.head_words(docs)
+        assert head == [b"steady", b"w0x0"] and tokens == 3 * (309 + 1)
+    assert brown.head_words(docs.where("held_out")) == ([], 0)
