@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from beaconry.operators import geo
 from beaconry.operators.geo import geo_within, near_point, nearest_k, nearest_other, neighbour_counts, top_bottom_n
 from beaconry.operators.joins import (
     interval_join, interval_sums, split_hot_groups, window_containment_join, windows_after,
@@ -192,6 +193,47 @@ def test_nearest_k(spark, k, km, group, crowd):
         assert [best[i] for _, i, _ in found] == pytest.approx([d for _, _, d in found], abs=1e-6) and len({i for _, i, _ in found}) == len(found)
 
 
+def _compared(run):
+    """A result, and how many rows each comparison of places made for it."""
+    seen = []
+    plain = geo._compare
+
+    def counted(*args):
+        out = plain(*args)
+        seen.append(out.count())
+        return out
+
+    geo._compare = counted
+    try:
+        return run(), seen
+    finally:
+        geo._compare = plain
+
+
+@pytest.mark.parametrize("copies", [20, 40])
+def test_crowded_places_are_compared_once(spark, copies):
+    """Many keys at few places, of which each key has several."""
+    spots = [(34.0 + i / 100, -118.0 + i % 3 / 100) for i in range(12)]
+    data = [(n % (copies * 6), "AB"[n % 5 % 2], *spots[n % 12]) for n in range(12 * copies)] + [(None, "A", 34.005, -118.0)]
+    df = spark.createDataFrame(data, "store_id int, brand string, latitude double, longitude double")
+    rows, pairs = _compared(lambda: nearest_other(df, "brand", key="store_id").collect())
+    assert len(rows) == len(data) and sum(pairs) < 24 * 24 * 2
+    for r in rows:
+        best = min(_km((r.latitude, r.longitude), b[2:]) for b in data if b[1] != r.brand and (r.store_id is None or b[0] != r.store_id))
+        assert r.nearest_km == pytest.approx(best, abs=1e-6)
+    got, pairs = _compared(lambda: nearest_k(df, 3, 30.0).collect())
+    assert sum(pairs) <= 13 * 13 * 4  # not all rows with one another
+    for a in {d[0] for d in data} - {None}:
+        best = {}
+        for x in data:
+            for y in data:
+                if x[0] == a and y[0] not in (a, None):
+                    best[y[0]] = min(best.get(y[0], 1e9), _km(x[2:], y[2:]))
+        found = sorted((r.place, r.near_store_id, r.distance_km) for r in got if r.store_id == a)
+        assert [i for _, i, _ in found] == [i for i, _ in sorted(((i, round(d, 7)) for i, d in best.items()), key=lambda p: (p[1], p[0]))[:3]]
+        assert [best[i] for _, i, _ in found] == pytest.approx([d for _, _, d in found], abs=1e-6)
+
+
 def test_neighbours_of_keys_at_several_places(spark):
     rows = [("a", "B1", 34.0, -118.0), ("a", "B1", 34.001, -118.0), ("b", "B1", 34.0, -118.001), ("c", "B1", 34.0, -118.002),
             ("c", "B2", 34.0, -118.002), ("d", "B2", 34.002, -118.0)]
