@@ -23,7 +23,7 @@ from beaconry.operators.metrics import validate_metrics
 from beaconry.operators.rollups import drive_through, kpi_hourly, rollup_5min, rollup_by_place
 from beaconry.plans.tables import GRAPHS
 from beaconry.profiles import NETWORK, Profile
-from beaconry.sinks.parts import TIMELESS, WHOLE, Change, PartStore, hour_part
+from beaconry.sinks.parts import FEW, TIMELESS, WHOLE, Change, PartStore, hour_part
 from beaconry.sinks.streams import write_batches
 
 RECENT = "1 hour"  # of events that health looks at
@@ -31,6 +31,11 @@ MERGE_ABOVE = 16   # versions of a part and level before they are rewritten as o
 LATE = "late_records"
 
 
+def _spread(rows: DataFrame) -> int:
+    """How many hours the rows are of, counted as far as it matters: no more than a few, or more."""
+    return rows.select(hour_part("event_timestamp").alias("part")).distinct().limit(FEW + 1).count()
+
+
 class IncrementalTables:
     """The table graph of a profile below ``root``, moved on batch by batch.
 
@@ -95,11 +100,14 @@ class IncrementalTables:
             passed = change.read("clock").select(F.col("event_timestamp") - F.expr(f"INTERVAL {self.watermark}")).scalar()
             # Stored first: the batch is read for either side.
             silver = change.stage("new_records", silver.withColumns({"watermark": passed, "part": F.lit(WHOLE)})).drop("part")
+            spread = _spread(silver)
             at, width = micros(F.col("event_timestamp")), interval_micros("5 minutes")
             late = F.coalesce(at - F.pmod(at, F.lit(width)) + width <= micros(F.col("watermark")), F.lit(False))
-            change.append(LATE, silver.filter(late).select("*", hour_part("event_timestamp").alias("part"), stamp))
+            change.append(LATE, silver.filter(late).select("*", hour_part("event_timestamp").alias("part"), stamp), spread=spread)
             silver = silver.filter(~late).drop("watermark")
-        fresh = change.append(table, silver.select("*", hour_part("event_timestamp").alias("part"), stamp), self._order)
+        else:
+            spread = _spread(silver)
+        fresh = change.append(table, silver.select("*", hour_part("event_timestamp").alias("part"), stamp), self._order, spread)
         touched = change.written.get(table, [])
         if not touched:
             return []
@@ -127,11 +135,11 @@ class IncrementalTables:
         """New events only: an event is a repeat if its hour has the same one already."""
         table = self.name["silver_events"]
         events = dedup_events(parse_log(lines, self.profile), self.profile)
-        fresh = change.stage("new_events", events.withColumn("part", hour_part("event_timestamp")))
+        fresh = change.stage("new_events", events.withColumn("part", hour_part("event_timestamp")), FEW + 1)
+        hours = sorted(r.part for r in fresh.select("part").distinct().collect())
         if table in change.schemas:
-            hours = sorted(r.part for r in fresh.select("part").distinct().collect())
             fresh = fresh.subtract(change.read(table, hours).drop("processed_timestamp").select(*fresh.columns))
-        change.append(table, fresh.select("*", stamp), self._order)
+        change.append(table, fresh.select("*", stamp), self._order, len(hours))
         change.merge_versions(table, self.merge_above, sort_by=self._order)
         return change.written.get(table, [])
 

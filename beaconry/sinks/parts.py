@@ -1,7 +1,9 @@
 """Tables in parts that change one by one and are published together.
 
 A table is a set of parts, usually one per hour. A change writes parts under a version of its own,
-``table/version=V/part=P``, where no reader looks, and then publishes a manifest: which versions
+``table/version=V/part=P``, where no reader looks. Rows of many parts are not spread over a file each:
+they share the files of a wide version, ``table/version=W``, sorted by their column ``part``, so files
+grow with the rows and not with the hours. The change then publishes a manifest: which versions
 make up each part of each table. The manifest gets its name by a rename, after it is complete, so
 a run that died half-way leaves nothing that a reader could see, and all tables move on at once.
 """
@@ -14,13 +16,15 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from beaconry.sinks.files import move, names_in, read_text, remove, write_text
 from beaconry.sources.schema import evolve_schema
 
 WHOLE = "all"      # the part of a table that is always written whole
 TIMELESS = "none"  # rows without a time
+FEW = 24           # parts that get a folder each
+WIDE = "w"         # begins the name of a version whose parts share files
 
 
 def hour_part(time: str | Column, form: str = "yyyy-MM-dd-HH") -> Column:
@@ -109,53 +113,73 @@ class Change:
         chosen = wanted if parts is None else [p for p in parts if p in wanted]
         return self._read(table, [(v, p) for p in chosen for v in wanted[p]])
 
-    def _read(self, table: str, versions: Sequence[tuple[str, str]]) -> DataFrame:
-        schema = StructType.fromJson(json.loads(self.schemas[table])).add("version", StringType()).add("part", StringType())
+    def _read(self, table: str, versions: Sequence[tuple[str, str]], whole: bool = False) -> DataFrame:
+        """Rows of pairs of version and part. ``whole`` if these are all parts of their versions."""
+        own = StructType.fromJson(json.loads(self.schemas[table]))
+        schema = StructType([*own, StructField("version", StringType()), StructField("part", StringType())])
         spark, home = self.store.spark, f"{self.store.root}/{table}"
+        narrow = [f"{home}/version={v}/part={p}" for v, p in versions if not v.startswith(WIDE)]
+        wide = [(v, p) for v, p in versions if v.startswith(WIDE)]
         if not versions:
             return spark.createDataFrame([], schema).drop("version")
-        paths = [f"{home}/version={v}/part={p}" for v, p in versions]
-        return spark.read.schema(schema).option("basePath", home).parquet(*paths).drop("version")
-
-    def _write(self, table: str, df: DataFrame, sort_by: Sequence[str], level: int = 0) -> tuple[str, list[str]]:
-        """Write the rows by their column ``part``; the version and the parts that have rows."""
-        version = f"v{self.number}-{uuid.uuid4().hex}-{level}"
+        files = spark.read.schema(schema).option("basePath", home)
+        rows = files.parquet(*narrow).drop("version") if narrow else None
+        if wide:
+            shared = files.parquet(*[f"{home}/version={v}" for v in dict.fromkeys(v for v, _ in wide)])
+            if not whole:  # parts that were replaced later still stand in the files
+                pairs = spark.createDataFrame(wide, "_version string, _part string")
+                shared = shared.filter(F.col("part").between(min(p for _, p in wide), max(p for _, p in wide))).join(
+                    F.broadcast(pairs), F.expr("version = _version AND part = _part"), "left_semi")
+            shared = shared.select(*own.names, "part")
+            rows = shared if rows is None else rows.unionByName(shared)
+        return rows
+
+    def _write(self, table: str, df: DataFrame, sort_by: Sequence[str], level: int = 0, spread: int = 0) -> tuple[str, list[str]]:
+        """Write the rows by their column ``part``; the version and the parts that have rows.
+
+        ``spread`` is how many parts the rows may be of.
+        """
+        wide, spark = spread > FEW, self.store.spark
+        version = f"{WIDE if wide else 'v'}{self.number}-{uuid.uuid4().hex}-{level}"
         path = f"{self.store.root}/{table}/version={version}"
         df = df.hint("rebalance", "part").sortWithinPartitions("part", *[c for c in sort_by if c in df.columns])
-        df.write.partitionBy("part").parquet(path)
+        (df.write if wide else df.write.partitionBy("part")).parquet(path)
         own = StructType([f for f in df.schema.fields if f.name != "part"])
         known = StructType.fromJson(json.loads(self.schemas[table])) if table in self.schemas else StructType([])
         self.schemas[table] = evolve_schema(known, own).json()
-        return version, [n.removeprefix("part=") for n in names_in(self.store.spark, path) if n.startswith("part=")]
+        if wide:
+            return version, sorted(r["part"] for r in spark.read.schema("part string").parquet(path).distinct().collect())
+        return version, [n.removeprefix("part=") for n in names_in(spark, path) if n.startswith("part=")]
 
-    def stage(self, table: str, df: DataFrame) -> DataFrame:
+    def stage(self, table: str, df: DataFrame, spread: int = 0) -> DataFrame:
         """Rows written aside for this change only, read back."""
-        version, parts = self._write(table, df, ())
-        return self._read(table, [(version, p) for p in parts])
+        version, parts = self._write(table, df, (), spread=spread)
+        return self._read(table, [(version, p) for p in parts], whole=True)
 
-    def put(self, table: str, df: DataFrame, replaced: Iterable[str], sort_by: Sequence[str] = ()) -> DataFrame:
+    def put(self, table: str, df: DataFrame, replaced: Iterable[str], sort_by: Sequence[str] = (), spread: int = 0) -> DataFrame:
         """Write rows by their column ``part``, in place of what the parts ``replaced`` held, beside what others hold.
 
-        Returns the written rows.
+        Returns the written rows. ``spread`` is how many parts they may be of; many share files.
         """
-        version, found = self._write(table, df, sort_by)
+        version, found = self._write(table, df, sort_by, spread=spread)
         held = self.parts.setdefault(table, {})
         for part in replaced:
             held.pop(part, None)
         for part in found:
             held.setdefault(part, []).append(version)
         self._note(table, found)
-        return self._read(table, [(version, p) for p in found])
+        return self._read(table, [(version, p) for p in found], whole=True)
 
-    def append(self, table: str, df: DataFrame, sort_by: Sequence[str] = ()) -> DataFrame:
+    def append(self, table: str, df: DataFrame, sort_by: Sequence[str] = (), spread: int = 0) -> DataFrame:
         """Add rows to the parts they belong to; returns these rows. A part gets one more version."""
-        return self.put(table, df, (), sort_by)
+        return self.put(table, df, (), sort_by, spread)
 
     def replace(self, table: str, df: DataFrame, parts: Iterable[str] | None = None, sort_by: Sequence[str] = ()) -> DataFrame:
         """Put rows in place of what the given parts held, or of the whole table, which then is one part."""
         if parts is None:
             parts, df = [WHOLE], df.withColumn("part", F.lit(WHOLE))
-        return self.put(table, df, parts, sort_by)
+        parts = list(parts)
+        return self.put(table, df, parts, sort_by, len(parts))
 
     def _note(self, table: str, parts: Sequence[str]) -> None:
         self.written[table] = sorted({*self.written.get(table, ()), *parts})
@@ -180,7 +204,7 @@ class Change:
                 return
             if chosen:
                 rows = self._read(table, [(v, p) for p, versions in chosen.items() for v in versions])
-                version, found = self._write(table, combine(rows) if combine else rows, sort_by, level + 1)
+                version, found = self._write(table, combine(rows) if combine else rows, sort_by, level + 1, len(chosen))
                 for part, own in chosen.items():
                     held[part] = [v for v in held[part] if v not in own] + [version] * (part in found)
                 self._note(table, found)

@@ -103,6 +103,33 @@ def test_only_touched_parts_are_written(spark, tmp_path):
     assert one and len(one) < len(whole)
 
 
+def test_a_batch_of_many_hours_is_few_files(spark, tmp_path):
+    """Files grow with the rows, not with the hours; what is replaced, merged or removed goes by the hour all the same."""
+    def rows(hours):
+        return [record(NETWORK, 60 * h + m, k, h + m + k) for h in hours for m in (1, 31) for k in (1, 2)] + [record(NETWORK, None, 1, 5)]
+
+    def lines(hours):
+        return [line(NETWORK, 60 * h + 7, k) for h in hours for k in (1, 2)]
+
+    tables = IncrementalTables(spark, NETWORK, str(tmp_path / "gold"), merge_above=2)
+    batches, most = [range(60), range(0, 60, 2), [3, 4], [*range(5, 45), 59, 80]], 0
+    for hours in batches:
+        before = files(tmp_path, "gold")
+        written = tables.refresh(*frames(spark, NETWORK, rows(hours), lines(hours)))
+        assert written["network_kpi_hourly"] == [(START + timedelta(hours=h)).strftime("%Y-%m-%d-%H") for h in hours]
+        if len(hours) > 24:
+            most = max(most, len(files(tmp_path, "gold") - before))
+    assert most <= 20 * 4  # some tables and merges, of at most as many files as there are shuffle partitions
+    full = Tables(NETWORK, *frames(spark, NETWORK, [r for b in batches for r in rows(b)], [x for b in batches for x in lines(b)]))
+    for attempt in range(2):
+        for name, (attribute, _) in GRAPHS["network"].items():
+            assert content(tables.table(name)) == content(getattr(full, attribute)), name
+        assert bool(tables.store.vacuum(keep=1)) == (attempt == 0)
+    hour = "2026-01-07-13"  # in a folder of its own since the third batch
+    assert {r["window_start"].hour for r in tables.table("network_performance_5min", [hour]).collect()} == {13}
+    assert sum(r["sample_count"] for r in tables.table("network_performance_5min", [hour, "2026-01-07-14"]).collect()) == 2 * 4 + 3 * 4
+
+
 def test_either_input_may_come_first(spark, tmp_path):
     rows, lines = history(NETWORK)[0]
     records, text = frames(spark, NETWORK, rows, lines)
