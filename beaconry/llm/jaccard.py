@@ -2,18 +2,21 @@
 
 The global order puts n-grams that look frequent last (a fixed-size bit table, filled from counts)
 and sorts the rest by hash; any order is exact, this one makes the prefixes of unlike documents
-disjoint. Two sets that are similar enough share an n-gram in their prefixes. The order is cut
-into fragments; overlaps of a candidate pair are counted fragment by fragment and summed.
+disjoint. Two sets that are similar enough share an n-gram in their prefixes and are of similar size.
+Sets without such a partner are done. Of the others the n-grams are counted exactly: those that only
+one of them has are dropped, as they are in no overlap, and a set that has too few others to be linked
+goes with them. Counts among these sets order what is left anew, and its prefixes make the lists. This
+order is cut into fragments; overlaps of a candidate pair are counted fragment by fragment and summed.
 
 Only links between different sets matter, and of these only enough to connect what is connected,
 so a crowd of near copies is not spelled out in pairs. A prefix n-gram in a short list gives all
-pairs of the list. In a long list one set, the one in most long lists, is compared with each other
-one. Two sets that are similar to it are connected already. For any other pair x, y the overlap is at
-most min(|x & leader|, |y & leader|) plus what they share outside the leader, so either they share an
-n-gram outside it (these residual n-grams make the lists of the next level), or both are so close to
-the leader that the bound allows it by itself (a narrow band, which needs a y smaller than the
-leader). A set that is in the leader's component by now only has to meet those that are not. The last
-level lists all pairs that are left.
+pairs of the list. In a long list one set, the one whose n-grams are met most often, so near the middle
+of a crowd, is compared with each other one. Two sets that are similar to it are connected already. For any
+other pair x, y the overlap is at most min(|x & leader|, |y & leader|) plus what they share outside the
+leader, so either they share an n-gram outside it (these residual n-grams make the lists of the next
+level), or both are so close to the leader that the bound allows it by itself (a narrow band, which needs
+a y smaller than the leader). A set that is in the leader's component by now only has to meet those that
+are not. The last level lists all pairs that are left.
 """
 
 from __future__ import annotations
@@ -32,7 +35,8 @@ from beaconry.session import persist_table, scratch
 WORDS, PERCENT = 5, 80
 SHORT = 12  # sets in a list whose pairs are all compared
 BITS = 1 << 26
-LEVELS = 6
+COMMON = (2, 8, 64)  # from so many sets on an n-gram is of the next rank of the order
+LEVELS = 12
 BATCH = 500  # texts or pairs of sets in memory at once
 
 
@@ -46,6 +50,10 @@ class Rule:
         """Smallest overlap that a set of n needs with any partner."""
         return -(-n * self.percent // 100)
 
+    def prefix(self, n):
+        """So many n-grams of a set of n hold one of any partner."""
+        return n - self.least(n) + 1
+
     def need(self, n: str, m: str) -> Column:
         """Smallest overlap that links sets of n and m."""
         return F.expr(f"({self.percent} * ({n} + {m}) + {99 + self.percent}) div {100 + self.percent}")
@@ -60,13 +68,16 @@ def shingles(text: str | None, k: int, hashes: WordHashes) -> np.ndarray:
 
 
 def common_bits(docs: DataFrame, rule: Rule) -> np.ndarray:
-    """Bit table of n-grams met twice or more among the smallest hashes of the texts."""
-    k, least = rule.words, rule.least
+    """Bit table of n-grams met twice or more among the smallest hashes of the texts.
+
+    Half as many again as a prefix has are counted, so that a prefix without common ones has counted ones in their place.
+    """
+    k = rule.words
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            low = [s[:len(s) - least(len(s)) + 1] for s in (shingles(t, k, hashes) for t in batch.column(0).to_pylist()) if len(s)]
+            low = [s[:-(-3 * rule.prefix(len(s)) // 2)] for s in (shingles(t, k, hashes) for t in batch.column(0).to_pylist()) if len(s)]
             if low:
                 t, n = np.unique(np.concatenate(low), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(n)], ["t", "n"])
@@ -117,7 +128,7 @@ def class_number(d: bytes) -> int:
 
 def set_table(docs: DataFrame, bits, rule: Rule) -> DataFrame:
     """Per document its set's size, digest and prefix."""
-    k, least = rule.words, rule.least
+    k = rule.words
 
     def run(batches):
         hashes = WordHashes()
@@ -130,7 +141,7 @@ def set_table(docs: DataFrame, bits, rule: Rule) -> DataFrame:
                 numbers.append(class_number(digests[-1]))
                 common = is_common(bits.value, s)
                 ordered = np.concatenate([s[~common], s[common]])
-                prefixes.append(ordered[:len(s) - least(len(s)) + 1 if len(s) else 0].view(np.int64))
+                prefixes.append(ordered[:rule.prefix(len(s)) if len(s) else 0].view(np.int64))
             lengths = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(digests, pa.binary()), pa.array(numbers, pa.int64()),
@@ -140,74 +151,134 @@ def set_table(docs: DataFrame, bits, rule: Rule) -> DataFrame:
     return persist_table(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, d binary, c long, prefix array<long>"), "sets")
 
 
-def _id_key(digests: list[bytes], ids: np.ndarray) -> np.ndarray:
-    head = np.frombuffer(b"".join(d[:8] for d in digests), "<u8")
-    return mixed(head + mixed(ids.astype(np.int64).view(np.uint64)))
+def with_partners(sets: DataFrame, rule: Rule) -> DataFrame:
+    """Stored classes (c) that share a prefix n-gram with another class of a similar size.
+
+    Sorted by size, the next one up or down in a list is the most similar in size.
+    """
+    def run(batches):
+        last = None
+        for batch in batches:
+            key, n, c = (batch.column(i).to_numpy() for i in range(3))
+            if last is not None:
+                key, n, c = (np.concatenate([x, y]) for x, y in zip(last, (key, n, c)))
+            last = [x[-1:] for x in (key, n, c)]
+            near = (key[1:] == key[:-1]) & (c[1:] != c[:-1]) & (100 * n[:-1].astype(np.int64) >= rule.percent * n[1:].astype(np.int64))
+            found = np.unique(np.concatenate([c[1:][near], c[:-1][near]]))
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(found)], ["c"])
+
+    entries = sets.where("n > 0").select(F.explode("prefix").alias("key"), "n", "c")
+    near = entries.repartition("key").sortWithinPartitions("key", "n", "c").mapInArrow(run, "c long")
+    return persist_table(near.distinct(), "with-partners")
+
+
+def _id_place(ids: pa.Array) -> np.ndarray:
+    return mixed(ids.fill_null(0).to_numpy().view(np.uint64)) % np.uint64(BITS)
 
 
-def segments(docs: DataFrame, bits, needed: DataFrame, rule: Rule) -> DataFrame:
-    """(c, f, tokens): sets of the needed classes (c, d, rep), cut into fragments of the global order.
+def segments(docs: DataFrame, needed: DataFrame, rule: Rule) -> DataFrame:
+    """(c, tokens): whole sets of the needed classes (rep).
 
-    A bit table of the needed representatives spares most texts the work. It lets some others pass:
-    classes that no pair names, and copies of a representative, whose segments then stand twice.
+    A bit table of the needed representatives' ids spares most texts the work. It lets some others pass:
+    classes without a partner, and texts that stand twice under an id, as their segments then do.
     """
     k = rule.words
 
     def mark(batches):
         for batch in batches:
-            ids = batch.column(1).to_pandas().fillna(0).to_numpy(np.int64)
-            place = np.unique(_id_key(batch.column(0).to_pylist(), ids) % np.uint64(BITS)) if len(ids) else np.zeros(0, np.uint64)
+            place = np.unique(_id_place(batch.column(0))) if batch.num_rows else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(place.view(np.int64))], ["place"])
 
-    wanted = bit_table(needed.select("d", "rep").mapInArrow(mark, "place long"))
+    wanted = bit_table(needed.select("rep").mapInArrow(mark, "place long"))
     wanted = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(t, k, hashes) for t in batch.column(1).to_pylist()]
-            if not sets:
+            if not batch.num_rows:
                 continue
-            digests = [digest(s) for s in sets]
-            keys = _id_key(digests, batch.column(0).to_pandas().fillna(0).to_numpy(np.int64))
-            at = keys % np.uint64(BITS)
-            hit = (wanted.value[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1)
+            hit = is_common(wanted.value, _id_place(batch.column(0)))
+            sets = [s for s in (shingles(t, k, hashes) for t in batch.column(1).filter(pa.array(hit)).to_pylist()) if len(s)]
+            if sets:
+                yield pa.RecordBatch.from_arrays([pa.array([class_number(digest(s)) for s in sets], pa.int64()),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary())], ["c", "tokens"])
+
+    with small_batches(docs.sparkSession, BATCH):
+        found = persist_table(docs.select("doc_id", "text").mapInArrow(run, "c long, tokens binary"), "segments")
+    wanted.destroy()
+    return found
+
+
+def rank_tables(whole: DataFrame) -> list[np.ndarray]:
+    """A bit table for each of ``COMMON``: n-grams that so many sets have."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                t, n = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in batch.column(0).to_pylist()]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(n)], ["t", "n"])
+
+    with small_batches(whole.sparkSession, BATCH):
+        counts = whole.select("tokens").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
+        counts = persist_table(counts.where(F.col("n") >= COMMON[0]).select(F.expr(f"pmod(t, {BITS})").alias("place"), "n"), "gram-counts")
+    return [bit_table(counts.where(F.col("n") >= least).select("place")) for least in COMMON]
+
+
+def shared_parts(whole: DataFrame, ranks, rule: Rule) -> DataFrame:
+    """Stored (c, n, p, w, f, tokens, prefix): what sets have in common with others, by fragment of the order.
+
+    ``p`` is the length of the whole prefix, ``prefix`` its part of the fragment, ``w`` the mean rank of the n-grams.
+    """
+    def run(batches):
+        for batch in batches:
             rows = []
-            for i in np.flatnonzero(hit):
-                s = sets[i]
-                fragment = 2 * is_common(bits.value, s) + (s >> np.uint64(63)).astype(np.int64)
-                rows += [(class_number(digests[i]), int(f), s[fragment == f].tobytes()) for f in np.unique(fragment)]
+            for c, tokens in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                s = np.frombuffer(tokens, np.uint64)
+                rank = sum(is_common(table, s).astype(np.int64) for table in ranks.value)
+                n, left = len(s), int((rank > 0).sum()) - rule.least(len(s)) + 1
+                if left <= 0:
+                    continue
+                fragment, p, w = 2 * rank + (s >> np.uint64(63)).astype(np.int64), left, float(rank.mean())
+                for f in np.unique(fragment[rank > 0]):
+                    part = s[fragment == f]
+                    rows.append((c, n, p, w, int(f), part.tobytes(), part[:max(left, 0)].view(np.int64)))
+                    left -= len(part)
             if rows:
-                c, f, tokens = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(f, pa.int32()), pa.array(tokens, pa.binary())],
-                                                 ["c", "f", "tokens"])
+                *plain, prefixes = zip(*rows)
+                offsets = np.cumsum([0] + [len(x) for x in prefixes]).astype(np.int32)
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, kind) for x, kind in zip(plain, kinds)),
+                                                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes)))],
+                                                 ["c", "n", "p", "w", "f", "tokens", "prefix"])
 
-    return persist_table(docs.select("doc_id", "text").mapInArrow(run, "c long, f int, tokens binary"), "segments")
+    with small_batches(whole.sparkSession, BATCH):
+        return persist_table(whole.mapInArrow(run, "c long, n int, p int, w double, f int, tokens binary, prefix array<long>"), "parts", keep=True)
 
 
-def overlaps(pairs: DataFrame, parts: DataFrame, rule: Rule) -> DataFrame:
+def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """Stored (a, b, f, o, m, rest) per fragment: overlap, size of b there, and for star pairs b without a,
-    of which no more is stored than the prefix that meets any set similar to b."""
+    of which no more is stored than the prefix that meets any set similar to b (p)."""
     def run(batches):
         for batch in batches:
             o, m, rests = [], [], []
-            for star, nb, ta, tb in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5, 6))):
+            for star, p, ta, tb in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5, 6))):
                 a, b = np.frombuffer(ta or b"", np.uint64), np.frombuffer(tb, np.uint64)
                 at = np.searchsorted(a, b)
                 same = a[np.minimum(at, len(a) - 1)] == b if len(a) else np.zeros(len(b), bool)
                 o.append(int(same.sum()))
                 m.append(len(b))
-                rests.append(b[~same][:nb - rule.least(nb) + 1].view(np.int64) if star else np.zeros(0, np.int64))
+                rests.append(b[~same][:p].view(np.int64) if star else np.zeros(0, np.int64))
             offsets = np.cumsum([0] + [len(r) for r in rests]).astype(np.int32)
             flat = np.concatenate(rests) if rests else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(o, pa.int32()), pa.array(m, pa.int32()),
                                               pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
                                              ["a", "b", "f", "o", "m", "rest"])
 
-    of_b = pairs.select("a", "b", "nb", "star").join(parts.select(F.col("c").alias("b"), "f", F.col("tokens").alias("tb")), "b")
+    of_b = pairs.select("a", "b", "p", "star").join(parts.select(F.col("c").alias("b"), "f", F.col("tokens").alias("tb")), "b")
     of_a = parts.select(F.col("c").alias("a"), "f", F.col("tokens").alias("ta"))
-    both = of_b.join(of_a, ["a", "f"], "left").select("a", "b", "f", "star", "nb", "ta", "tb")
-    return persist_table(both.mapInArrow(run, "a long, b long, f int, o int, m int, rest array<long>"), "overlaps")
+    both = of_b.join(of_a, ["a", "f"], "left").select("a", "b", "f", "star", "p", "ta", "tb")
+    with small_batches(pairs.sparkSession, BATCH):
+        return persist_table(both.mapInArrow(run, "a long, b long, f int, o int, m int, rest array<long>"), "overlaps")
 
 
 def _with_component(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -224,22 +295,24 @@ def _lists(entries: DataFrame) -> DataFrame:
     return persist_table(entries.join(shared, "key"), "lists", keep=True)
 
 
+_PLAIN = ("0 AS p", "0.0D AS w", "false AS star")
+
+
 def _all_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
     left = lists.select("key", F.col("c").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
     right = lists.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
     pairs = left.join(right, "key").where("a < b AND ca <> cb").where(rule.close("na", "nb"))
-    return pairs.select("a", "na", "b", "nb", F.lit(False).alias("star"))
+    return pairs.selectExpr("a", "na", "b", "nb", *_PLAIN)
 
 
 def _star_pairs(lists: DataFrame) -> DataFrame:
-    often = lists.groupBy("c").agg(F.count(F.lit(1)).alias("often"))
-    leaders = lists.join(often, "c").groupBy("key").agg(F.max(F.struct("often", (-F.col("n")).alias("m"), "c")).alias("l"))
-    leaders = persist_table(leaders.select("key", F.col("l.c").alias("a"), (-F.col("l.m")).alias("na")), "leaders")
-    return lists.join(leaders, "key").where("c <> a").select("a", "na", F.col("c").alias("b"), F.col("n").alias("nb"), F.lit(True).alias("star"))
+    leaders = lists.groupBy("key").agg(F.max(F.struct("w", "c", "n")).alias("l"))
+    leaders = persist_table(leaders.select("key", F.col("l.c").alias("a"), F.col("l.n").alias("na")), "leaders")
+    return lists.join(leaders, "key").where("c <> a").select("a", "na", F.col("c").alias("b"), F.col("n").alias("nb"), "p", "w", F.lit(True).alias("star"))
 
 
 def _next_level(star: DataFrame, counted: DataFrame, roots: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
-    """Residual entries and band pairs of the star pairs (a, na, b, nb, o)."""
+    """Residual entries and band pairs of the star pairs (a, na, b, nb, p, w, o)."""
     for side in "ab":
         named = roots.select(F.col("node").alias(side), F.col("root").alias(f"c{side}"))
         star = star.join(named, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
@@ -256,16 +329,15 @@ def _next_level(star: DataFrame, counted: DataFrame, roots: DataFrame, rule: Rul
     rest = counted.where("size(rest) > 0").groupBy("a", "b", "f").agg(F.first("rest").alias("rest"), F.first(F.col("m") - F.col("o")).alias("k"))
     sizes = rest.groupBy("a", "b").agg(F.collect_list(F.struct("f", "k")).alias("ks"))  # a few fragments
     keep = members.join(sizes, ["a", "b"]).withColumn("total", F.expr("aggregate(ks, 0, (x, y) -> x + y.k)"))
-    keep = keep.withColumn("keep", F.expr("least(total - t + 1, nb - least + 1)")).where("keep > 0")
-    cut = rest.join(keep.select("a", "b", F.col("nb").alias("n"), "ks", "keep"), ["a", "b"])
+    keep = keep.withColumn("keep", F.expr("least(total - t + 1, p)")).where("keep > 0")
+    cut = rest.join(keep.select("a", "b", F.col("nb").alias("n"), "p", "w", "ks", "keep"), ["a", "b"])
     cut = cut.withColumn("own", F.expr("keep - aggregate(filter(ks, y -> y.f < f), 0, (x, y) -> x + y.k)")).where("own > 0")
-    entries = cut.select(F.col("b").alias("c"), "n", "a", F.explode(F.expr("slice(rest, 1, CAST(least(own, size(rest)) AS INT))")).alias("t"))
-    entries = entries.select(F.xxhash64("a", "t").alias("key"), "c", "n")
+    entries = cut.select(F.col("b").alias("c"), "n", "p", "w", "a", F.explode(F.expr("slice(rest, 1, CAST(least(own, size(rest)) AS INT))")).alias("t"))
+    entries = entries.select(F.xxhash64("a", "t").alias("key"), "c", "n", "p", "w")
     x = members.where("NOT joined AND short <= 0").select("a", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("o").alias("ox"), F.col("cb").alias("cx"))
     y = members.where("nb < na AND o >= least").select("a", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("o").alias("oy"), F.col("cb").alias("cy"))
     band = x.join(y, "a").where("cx <> cy").where(rule.close("nx", "ny")).where(F.least("ox", "oy") >= rule.need("nx", "ny"))
-    band = band.select(F.least("x", "y").alias("a"), F.expr("if(x < y, nx, ny)").alias("na"), F.greatest("x", "y").alias("b"),
-                       F.expr("if(x < y, ny, nx)").alias("nb"), F.lit(False).alias("star"))
+    band = band.selectExpr("least(x, y) AS a", "if(x < y, nx, ny) AS na", "greatest(x, y) AS b", "if(x < y, ny, nx) AS nb", *_PLAIN)
     return entries, persist_table(band, "band", keep=True)
 
 
@@ -273,18 +345,17 @@ def link_sets(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFr
     """(sets, classes, links, roots): documents' sets, classes of equal sets (c, d, rep), links between
     classes (a, b) and components (node, root)."""
     with small_batches(docs.sparkSession, BATCH):
-        return _link_sets(docs, rule)
-
-
-def _link_sets(docs: DataFrame, rule: Rule):
-    bits = docs.sparkSession.sparkContext.broadcast(common_bits(docs, rule))
-    sets = set_table(docs, bits, rule)
+        bits = docs.sparkSession.sparkContext.broadcast(common_bits(docs, rule))
+        sets = set_table(docs, bits, rule)
+    bits.destroy()
     classes = persist_table(sets.where("n > 0").groupBy("d", "c").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "set-classes")
-    own = sets.where("n > 0").select("d", "doc_id", "prefix").join(classes.withColumnRenamed("d", "d2"), F.expr("d = d2 AND doc_id <=> rep"))
-    entries = own.select(F.explode("prefix").alias("key"), "c", "n").withColumn("comp", F.col("c"))
-    lists = _lists(entries)
-    needed = lists.select("c").distinct().join(classes, "c")
-    parts = segments(docs, bits, persist_table(needed, "needed"), rule)
+    with scratch(docs.sparkSession):
+        needed = persist_table(with_partners(sets, rule).join(classes, "c").select("rep"), "needed")
+        whole = segments(docs, needed, rule)
+        ranks = docs.sparkSession.sparkContext.broadcast(rank_tables(whole))
+        parts = shared_parts(whole, ranks, rule)
+    ranks.destroy()
+    lists = _lists(parts.select(F.explode("prefix").alias("key"), "c", "n", "p", "w").withColumn("comp", F.col("c")))
     links, roots, band = None, None, None
     for level in range(LEVELS):
         with scratch(docs.sparkSession):
@@ -294,8 +365,8 @@ def _link_sets(docs: DataFrame, rule: Rule):
                 pairs = pairs.unionByName(_star_pairs(lists.where(F.col("k") > SHORT)))
             if band is not None:
                 pairs = pairs.unionByName(band)
-            pairs = persist_table(pairs.groupBy("a", "na", "b", "nb").agg(F.max("star").alias("star")), "pairs")
-            counted = overlaps(pairs, parts, rule)
+            pairs = persist_table(pairs.groupBy("a", "na", "b", "nb").agg(*(F.max(x).alias(x) for x in ("p", "w", "star"))), "pairs")
+            counted = overlaps(pairs, parts)
             once = counted.groupBy("a", "b", "f").agg(F.max("o").alias("o"))  # a segment may stand twice
             summed = persist_table(pairs.join(once.groupBy("a", "b").agg(F.sum("o").alias("o")), ["a", "b"]), "summed")
             new = summed.where(F.col("o") >= rule.need("na", "nb")).select("a", "b")
