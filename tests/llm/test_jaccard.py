@@ -59,6 +59,16 @@ def test_crowds(spark, monkeypatch, short, levels):
     check(spark, crowd(short, 90, 120) + crowd(short + 50, 60, 60) + [(5, prose(short, 120))])
 
 
+def test_crowd_in_few_pairs(spark, monkeypatch):
+    """Edited copies of one text are compared with the text, not with each other."""
+    compared, whole = [], jaccard.overlaps
+    monkeypatch.setattr(jaccard, "overlaps", lambda pairs, *rest: compared.append(pairs.count()) or whole(pairs, *rest))
+    base = prose(7, 150)
+    rows = [(0, base)] + [(i, edited(base, i, i % 13)) for i in range(1, 200)]
+    check(spark, rows)
+    assert sum(compared) < 2 * len(rows)
+
+
 def test_five_words(spark):
     check(spark, crowd(9, 60, 100) + ODD, 5, 80)
 
