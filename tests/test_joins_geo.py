@@ -12,6 +12,7 @@ from beaconry.operators.geo import geo_within, near_point, nearest_k, nearest_ot
 from beaconry.operators.joins import (
     interval_join, interval_sums, split_hot_groups, window_containment_join, windows_after,
 )
+from beaconry.plans.maps import market_saturation
 
 START = datetime(2026, 1, 7)
 
@@ -253,6 +254,37 @@ def test_neighbour_counts_by_key(spark, km, cells):
         assert r.other_group_count == len({b[0] for b in near if b[1] != r.brand})
 
 
+@pytest.mark.parametrize("build", [market_saturation])
+def test_neighbours_of_crowded_places_are_compared_once(spark, build):
+    """Many keys at few places, of which each key has several: places meet keys, not all rows one another."""
+    spots = [(34.0 + i / 100, -118.0 + i % 3 / 100) for i in range(12)]
+    data = [(f"s{n % 110}", "AB"[n % 7 % 2], *spots[n % 12], "west", "fast_food") for n in range(480)]
+    df = spark.createDataFrame(data, "store_id string, brand string, latitude double, longitude double, region string, store_category string")
+    seen, plain = [], {name: getattr(geo, name) for name in ("geo_within", "_beside") if hasattr(geo, name)}
+
+    def counted(name):
+        def run(*args, **named):
+            out = plain[name](*args, **named)
+            seen.append(out.count())
+            return out
+        return run
+
+    for name in plain:
+        setattr(geo, name, counted(name))
+    try:
+        rows = build(df).collect()
+    finally:
+        for name in plain:
+            setattr(geo, name, plain[name])
+    assert len(rows) == len(data) and seen and sum(seen) <= 12 * 480 + 480 * 8
+    for r in rows[::7]:
+        near = [b for b in data if b[0] != r.store_id and _km((r.latitude, r.longitude), b[2:4]) <= 5.0]
+        want = len({b[0] for b in near if b[1] == r.brand}), len({b[0] for b in near if b[1] != r.brand})
+        got = r.asDict()
+        assert (got.get("same_group_count", got.get("nearby_same_brand_count")),
+                got.get("other_group_count", got.get("nearby_competitor_count"))) == want
+
+
 def test_nearest_other_without_competitor(spark):
     df = spark.createDataFrame([(1, "A", 0.0, 0.0), (2, "A", 1.0, 1.0)], "id int, brand string, latitude double, longitude double")
     assert nearest_other(df, "brand").count() == 0
