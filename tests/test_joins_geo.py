@@ -254,7 +254,21 @@ def test_neighbour_counts_by_key(spark, km, cells):
         assert r.other_group_count == len({b[0] for b in near if b[1] != r.brand})
 
 
-@pytest.mark.parametrize("build", [market_saturation])
+@pytest.mark.parametrize("crowd,cells", [(1, 2), (30, 3), (2000, 8)])
+def test_neighbour_counts_of_crowds(spark, crowd, cells):
+    """Crowded cells are cut to any depth; some keys have several places and several groups."""
+    data, _ = _points(spark, 13, CENTRES, 150, 0.06)
+    data = [(i % 70 if i % 3 else 1000 + i, *rest) for i, *rest in data]
+    df = spark.createDataFrame(data, "id int, brand string, latitude double, longitude double")
+    rows = neighbour_counts(df, 6.0, "brand", cells, "id", crowd=crowd).collect()
+    assert len(rows) == len(data)
+    for r in rows:
+        near = [b for b in data if b[0] != r.id and _km((r.latitude, r.longitude), b[2:]) <= 6.0]
+        assert r.same_group_count == len({b[0] for b in near if b[1] == r.brand})
+        assert r.other_group_count == len({b[0] for b in near if b[1] != r.brand})
+
+
+@pytest.mark.parametrize("build", [lambda df: neighbour_counts(df, 5.0, "brand"), market_saturation])
 def test_neighbours_of_crowded_places_are_compared_once(spark, build):
     """Many keys at few places, of which each key has several: places meet keys, not all rows one another."""
     spots = [(34.0 + i / 100, -118.0 + i % 3 / 100) for i in range(12)]
